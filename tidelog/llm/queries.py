@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import bpe
+from tidelog.llm import bpe, exact_dedup, langid, mixing, sharding, token_counts
 from tidelog.llm.common import table
+from tidelog.llm.words import load_pieces
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -18,3 +19,46 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_bpe"] = op1_bpe
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), "doc_id", "text", 24).drop("row_no")
+
+
+QUERIES["op2_sharding"] = op2_sharding
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op5_exact_dedup"] = op5_exact_dedup
+ORACLE_SQL["op5_exact_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t)
+"""
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("_rounds", "_upto")
+
+
+QUERIES["op6_mixing"] = op6_mixing
+ORACLE_SQL["op6_mixing"] = mixing.ORACLE_SQL
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", pieces)
+
+
+QUERIES["op4_token_counts"] = op4_token_counts
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id", "text", "lang", pieces, keep=["doc_id"])
+
+
+QUERIES["op10_langid"] = op10_langid
