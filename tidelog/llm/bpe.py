@@ -1,11 +1,11 @@
 """Byte-level BPE: encoding and decoding of whole texts with a rank file.
 
 Method. Each task cuts the texts of its partition into blocks, splits them with the tokenizer's
-pattern and lists the distinct words of a block. Spark higher-order functions fold the ranked
+pattern and lists the distinct words that are new in a block. Spark higher-order functions fold the ranked
 merges over the byte array of each such word; ranks come from a literal map (a perfect hash in
-two literal arrays, so a look-up is three array reads). A second pass strings the ids of the
+two literal arrays, so a look-up is two array reads). A second pass strings the ids of the
 words together by document; decoding joins the binary pieces of the ids. Nothing is shuffled:
-memory is bounded by one block, and a lost task is rerun from its input split alone.
+memory is bounded by one block and the words a task remembers, and a lost task is rerun from its input split alone.
 
 A bounded list of frequent words (`cached` at most, from `sample_rows` documents at most) is
 folded first, by the same fold, and handed to every task; it only saves work.
@@ -20,7 +20,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+from collections import defaultdict
 from functools import lru_cache
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,11 @@ from pyspark.sql import types as T
 
 from tidelog.llm.common import free_name, let, ragged, text_slices
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 SHIFT = 17  #: ids are below 2**17
-P1, P2 = 536870909, 1000003
+RANK_SHIFT = 41  #: offsets in a word are below 2**24
+NONE = 1 << SHIFT
+MOST_WORDS = 200_000  #: words that a task remembers
 
 
 @lru_cache(maxsize=4)
@@ -43,72 +47,93 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 @lru_cache(maxsize=4)
 def rank_map(path: str) -> tuple[str, str, int, int]:
-    """All pairs of ids that merge, as a perfect hash: (slots, displacements) as JSON, and their sizes. A slot holds a<<34 | b<<17 | merged id."""
+    """All pairs of ids that merge, as a perfect hash: (slots, displacements) as JSON, and their sizes.
+
+    The pair k = a << 17 | b is at slot (k + displacement[k mod buckets]) mod slots, which then holds k << 17 | merged id.
+    """
     ranks = load_ranks(path)
-    if len(ranks) > 1 << SHIFT or max(ranks.values()) >= 1 << SHIFT:
+    if max(ranks.values()) >= 1 << SHIFT:
         raise ValueError("ids must be below 2**17")
     found = [(a << SHIFT | b, r) for tok, r in ranks.items() for i in range(1, len(tok)) if (a := ranks.get(tok[:i])) is not None and (b := ranks.get(tok[i:])) is not None]
-    keys, merged = np.array([k for k, _ in found], np.int64), np.array([r for _, r in found], np.int64)
-    n_disp, n_slots = max(1, len(found) // 3), int(len(found) / 0.85) | 1
-    while any(n_slots % p == 0 for p in range(3, int(n_slots**0.5) + 1, 2)):  # a prime: every step reaches every slot
+    n_disp, n_slots = len(found) // 2 + 1, int(len(found) / 0.85) | 1
+    by_bucket: dict[int, list[tuple[int, int]]] = {}
+    for k, r in found:
+        by_bucket.setdefault(k % n_disp, []).append((k, r))
+    while any(len({k % n_slots for k, _ in own}) < len(own) for own in by_bucket.values()):  # keys of a bucket must differ
         n_slots += 2
-    first, step, bucket = keys % P1, keys % P2 + 1, keys % n_disp
-    order = np.argsort(bucket, kind="stable")
-    starts = np.searchsorted(bucket[order], np.arange(n_disp + 1))
-    used, slots, disp = bytearray(n_slots), np.full(n_slots, -1, np.int64), [0] * n_disp
-    for q in np.argsort(-np.diff(starts), kind="stable").tolist():
-        own = order[starts[q] : starts[q + 1]]
-        if not len(own):
-            break
-        ab, d = list(zip(first[own].tolist(), step[own].tolist(), strict=True)), 0
-        while True:
-            at = {(x + d * y) % n_slots for x, y in ab}
-            if len(at) == len(ab) and not any(used[s] for s in at):
-                break
-            d += 1
-            if d > n_slots:
-                raise ValueError("the rank map has no perfect hash of this form")
-        disp[q] = d
-        for (x, y), i in zip(ab, own.tolist(), strict=True):
-            s = (x + d * y) % n_slots
-            used[s], slots[s] = 1, int(keys[i]) << SHIFT | int(merged[i])
-    return json.dumps(slots.tolist(), separators=(",", ":")), json.dumps(disp, separators=(",", ":")), n_slots, n_disp
+    slots, disp = [1 << 52] * n_slots, [0] * n_disp
+    free = bytearray(b"\x01") * n_slots
+    for q, own in sorted(by_bucket.items(), key=lambda x: (-len(x[1]), x[0])):
+        head, rest = own[0][0] % n_slots, [k - own[0][0] for k, _ in own[1:]]
+        begin = q * 7919 % n_slots if rest else 0
+        tries = chain(range(begin, n_slots), range(begin))
+        at = next((t for t in tries if free[t] and all(free[(t + x) % n_slots] for x in rest)), -1) if rest else free.find(1)
+        if at < 0:
+            raise ValueError("the rank map has no perfect hash of this form")
+        disp[q] = (at - head) % n_slots
+        for k, r in own:
+            s = (k + disp[q]) % n_slots
+            free[s], slots[s] = 0, k << SHIFT | r
+    return json.dumps(slots, separators=(",", ":")), json.dumps(disp, separators=(",", ":")), n_slots, n_disp
 
 
 def merge_fold(word: Column, path: str) -> Column:
-    """array<bigint> of ids for an array of the ids of a word's bytes: the pair of lowest rank, leftmost first, merges until no pair does."""
+    """array<bigint> of ids for a word: the pair of lowest rank, leftmost first, merges until no pair does.
+
+    A place of the word holds merged << 41 | offset << 17 | id: its id, its first byte's offset, and the id that it would merge to with
+    its right neighbour (NONE: does not merge), so the least number is the merge that is due. `word` has these numbers for the word's
+    bytes; a merge looks up its two new pairs only.
+    """
     slots_json, disp_json, n_slots, n_disp = rank_map(path)
     slots, disp = F.from_json(F.lit(slots_json), "array<bigint>"), F.from_json(F.lit(disp_json), "array<bigint>")
-    one = F.lit(1 << SHIFT)
+    none, id_bits, low_bits = F.lit(NONE), (1 << SHIFT) - 1, (1 << RANK_SHIFT) - 1
+
+    def look(k: Column) -> Column:  # the slot of another pair differs above the id's bits
+        held = F.get(slots, ((k + F.get(disp, (k % n_disp).cast("int"))) % n_slots).cast("int"))
+        return F.shiftleft(F.least(held.bitwiseXOR(F.shiftleft(k, SHIFT)), none), RANK_SHIFT)
+
+    def step(places: Column) -> Column:
+        def merge(low: Column) -> Column:
+            def at(p: Column) -> Column:
+                left, new = F.get(places, p - 2), F.shiftright(low, RANK_SHIFT)
+                pairs = F.array(F.shiftleft(left.bitwiseAND(id_bits), SHIFT).bitwiseOR(new), F.shiftleft(new, SHIFT).bitwiseOR(F.get(places, p + 1).bitwiseAND(id_bits)))
 
-    def merged_id(k: Column) -> Column:  # in [0, 2**17) if the pair merges
-        at = (k % P1 + F.get(disp, (k % n_disp).cast("int")) * (k % P2 + 1)) % n_slots
-        return F.get(slots, at.cast("int")) - k * one
+                def join(found: Column) -> Column:
+                    before = F.when(p > 1, F.array(F.get(found, 0).bitwiseOR(left.bitwiseAND(low_bits)))).otherwise(F.slice(places, 1, 0))
+                    after = F.when(p + 1 < F.size(places), F.get(found, 1)).otherwise(F.lit(NONE << RANK_SHIFT))
+                    here = F.array(after.bitwiseOR(low.bitwiseAND(low_bits - id_bits)).bitwiseOR(new))
+                    return F.concat(F.slice(places, F.lit(1), F.greatest(p - 2, F.lit(0))), before, here, F.slice(places, p + 2, F.size(places)))
 
-    def step(state: Column) -> Column:
-        ids = state["ids"]
-        pairs = F.zip_with(F.slice(ids, 1, F.size(ids) - 1), F.slice(ids, 2, F.size(ids) - 1), lambda a, b: a * one + b)
+                return let(F.transform(pairs, look), join)
 
-        def merge(found: Column) -> Column:
-            def at_lowest(low: Column) -> Column:
-                p = F.array_position(found, low).cast("int")
-                joined = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(low), F.slice(ids, p + 2, F.size(ids)))
-                return F.when(low.isNull(), F.struct(ids.alias("ids"), F.lit(False).alias("live"))).otherwise(F.struct(joined.alias("ids"), (F.size(ids) > 2).alias("live")))
+            return F.when(low < F.lit(NONE << RANK_SHIFT), let(F.array_position(places, low).cast("int"), at)).otherwise(places)
 
-            return let(F.array_min(F.filter(found, lambda x: (x >= 0) & (x < one))), at_lowest)
+        return let(F.array_min(places), merge)
 
-        return let(F.transform(pairs, merged_id), merge)
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(word) - 1, F.lit(1))), word, lambda s, _: step(s), lambda s: F.transform(s, lambda x: x.bitwiseAND(id_bits)))
 
-    start = F.struct(word.cast("array<bigint>").alias("ids"), (F.size(word) > 1).alias("live"))
-    turns = F.sequence(F.lit(1), F.greatest(F.size(word) - 1, F.lit(1)))
-    return F.aggregate(turns, start, lambda s, _: F.when(s["live"], step(s)).otherwise(s), lambda s: s["ids"])
+
+def byte_table(ranks: dict[bytes, int]) -> np.ndarray:
+    """[a, b]: merged << 41 | id of byte a before byte b (b = 256: at the end of a word)."""
+    out = np.full((256, 257), NONE, np.int64)
+    for tok, r in ranks.items():
+        if len(tok) == 2:
+            out[tok[0], tok[1]] = r
+    return out << RANK_SHIFT | np.array([ranks[bytes([i])] for i in range(256)], np.int64)[:, None]
 
 
 def _byte_lists(words: list[str], byte_ids: np.ndarray) -> pa.ListArray:
     raw = [w.encode() for w in words]
     offsets = np.zeros(len(raw) + 1, np.int32)
     np.cumsum([len(w) for w in raw], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(byte_ids[np.frombuffer(b"".join(raw), np.uint8)]))
+    flat = np.frombuffer(b"".join(raw), np.uint8)
+    after = np.append(flat[1:], 0).astype(np.int64)
+    after[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = 256
+    lens = np.diff(offsets).astype(np.int64)
+    if lens.max(initial=0) >= 1 << (RANK_SHIFT - SHIFT):
+        raise ValueError("a word of 16 MiB or more")
+    place = np.arange(len(flat)) - np.repeat(offsets[:-1].astype(np.int64), lens)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(byte_ids[flat, after] | place << SHIFT))
 
 
 def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int, byte_ids: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -137,7 +162,7 @@ def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int
             yield pa.RecordBatch.from_arrays([b.column(0), _byte_lists(b.column(0).to_pylist(), byte_ids)], names=["w", "b"])
 
     cores = max(2, df.sparkSession.sparkContext.defaultParallelism)
-    got = top.select("w").repartition(4 * cores).mapInArrow(as_bytes, "w string, b array<int>").select("w", merge_fold(F.col("b"), path).cast("array<int>").alias("ids")).toArrow().combine_chunks()
+    got = top.select("w").repartition(4 * cores).mapInArrow(as_bytes, "w string, b array<bigint>").select("w", merge_fold(F.col("b"), path).cast("array<int>").alias("ids")).toArrow().combine_chunks()
     if not got.num_rows:
         return [], np.zeros(0, np.uint32), np.zeros(1, np.int64)
     words, ids = got["w"].to_pylist(), got["ids"].combine_chunks()
@@ -150,7 +175,7 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
     """df's other columns, then n_tokens, ids_sha256, decoded_sha256 (and with_ids: ids array<int>, decoded binary)."""
     spark = df.sparkSession
     ranks = load_ranks(path)
-    byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+    byte_ids = byte_table(ranks)
     kept = [f for f in df.schema.fields if f.name != text]
     names = [f.name for f in kept]
     out_n, out_ids, out_dec, out_list, out_raw = (free_name(names, w) for w in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"))
@@ -161,35 +186,49 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
     for tok, r in ranks.items():
         pieces[r] = tok
     words, flat, offsets = _cache(whole.select("t"), path, pattern, cached, sample_rows, byte_ids) if cached else ([], np.zeros(0, np.uint32), np.zeros(1, np.int64))
-    known = spark.sparkContext.broadcast((words, flat, offsets, np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])))
+    listed = spark.sparkContext.broadcast(words)
+    known = spark.sparkContext.broadcast((flat, offsets, np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])))
 
     def split(batches):
         import regex
 
         find = regex.compile(pattern).findall
-        fixed = {w: i for i, w in enumerate(known.value[0])}
+        fixed = listed.value
+        known_words: defaultdict[str, int] = defaultdict()
+
+        def forget():
+            known_words.clear()
+            known_words.update(zip(fixed, range(len(fixed)), strict=True))
+            known_words.default_factory = count(len(fixed)).__next__  # a new word gets the next number
+
+        forget()
         for part in text_slices(batches, 0, BLOCK_BYTES):
-            own: dict[str, int] = {}
-            counts, refs, base = [], [], len(fixed)
+            if len(known_words) > len(fixed) + MOST_WORDS:
+                forget()
+            before, counts, refs = len(known_words), [], [np.zeros(0, np.int32)]
             for t in part.column(0).to_pylist():
-                ws = find(t) if t else []
+                ws = find(t) if t else ()
                 counts.append(len(ws))
-                refs.append(np.fromiter((i if (i := fixed.get(w)) is not None else own.setdefault(w, base + len(own)) for w in ws), np.int32, len(ws)))
+                refs.append(np.fromiter(map(known_words.__getitem__, ws), np.int32, len(ws)))
+            new = list(islice(known_words, before, None))
             rows = pa.StructArray.from_arrays([*part.columns[1:], pa.array(np.arange(part.num_rows, dtype=np.int32))], names=[f"c{i}" for i in range(part.num_columns - 1)] + ["row"])
             one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            yield pa.RecordBatch.from_arrays([one(rows), one(pa.array(counts, pa.int32())), one(pa.array(np.concatenate(refs) if refs else np.zeros(0, np.int32))), one(_byte_lists(list(own), byte_ids))], names=["rows", "counts", "refs", "words"])
+            yield pa.RecordBatch.from_arrays([one(rows), one(pa.array(counts, pa.int32())), one(pa.array(np.concatenate(refs))), one(_byte_lists(new, byte_ids)), pa.array([before - len(fixed)], pa.int32())], names=["rows", "counts", "refs", "words", "before"])
 
     def assemble(batches):
-        _, flat, offsets, table, ends = known.value
+        flat, offsets, table, ends = known.value
         starts0, lens0 = offsets[:-1], np.diff(offsets)
+        pool, starts, lens = flat, starts0, lens0
         for batch in batches:
             for i in range(batch.num_rows):
                 rows, counts, refs, ids = (batch.column(k).slice(i, 1).flatten() for k in range(4))
                 own = ids.flatten().to_numpy().astype(np.uint32)
                 own_lens = np.diff(ids.offsets.to_numpy()).astype(np.int64)
-                lens = np.concatenate([lens0, own_lens])
-                starts = np.concatenate([starts0, len(flat) + np.cumsum(own_lens) - own_lens])
-                pool, refs, counts = np.concatenate([flat, own]), refs.to_numpy(), counts.to_numpy()
+                if not batch.column(4)[i].as_py():
+                    pool, starts, lens = flat, starts0, lens0
+                starts = np.concatenate([starts, len(pool) + np.cumsum(own_lens) - own_lens])
+                lens, pool = np.concatenate([lens, own_lens]), np.concatenate([pool, own])
+                refs, counts = refs.to_numpy(), counts.to_numpy()
                 ids_sha, dec_sha, n_tok, id_lists, raw = [], [], [], [], []
                 at = 0
                 for n in counts.tolist():
@@ -208,10 +247,10 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
                     cols += [pa.array(id_lists, pa.list_(pa.int32())), pa.array(raw, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=[f"o{k}" for k in range(len(cols))])
 
-    blocks = T.StructType([T.StructField("rows", T.ArrayType(carried)), T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("refs", T.ArrayType(T.IntegerType())), T.StructField("words", T.ArrayType(T.ArrayType(T.IntegerType())))])
+    blocks = T.StructType([T.StructField("rows", T.ArrayType(carried)), T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("refs", T.ArrayType(T.IntegerType())), T.StructField("words", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("before", T.IntegerType())])
     done = [T.StructField(f"o{i}", f.dataType) for i, f in enumerate(kept)] + [T.StructField(f"o{len(kept)}", T.LongType()), T.StructField(f"o{len(kept) + 1}", T.StringType()), T.StructField(f"o{len(kept) + 2}", T.StringType())]
     if with_ids:
         done += [T.StructField(f"o{len(kept) + 3}", T.ArrayType(T.IntegerType())), T.StructField(f"o{len(kept) + 4}", T.BinaryType())]
-    folded = whole.mapInArrow(split, blocks).select("rows", "counts", "refs", F.transform("words", lambda w: merge_fold(w, path).cast("array<int>")).alias("words"))
+    folded = whole.mapInArrow(split, blocks).select("rows", "counts", "refs", F.transform("words", lambda w: merge_fold(w, path).cast("array<int>")).alias("words"), "before")
     final = [*names, out_n, out_ids, out_dec, *([out_list, out_raw] if with_ids else [])]
     return folded.mapInArrow(assemble, T.StructType(done)).toDF(*final)
