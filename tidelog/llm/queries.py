@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, exact_dedup, langid, mixing, sharding, token_counts
+from tidelog.llm import ann, bpe, exact_dedup, langid, mixing, sharding, token_counts, warc
 from tidelog.llm.common import table
 from tidelog.llm.words import load_pieces
 
@@ -62,3 +63,19 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_langid"] = op10_langid
+
+
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.search(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
+QUERIES["op8_ann"] = op8_ann
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op9_warc"] = op9_warc
+ORACLE_SQL["op9_warc"] = warc.ORACLE_SQL
