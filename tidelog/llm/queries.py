@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import ann, bpe, exact_dedup, langid, mixing, sharding, token_counts, warc
+from tidelog.llm import ann, bpe, exact_dedup, langid, mixing, ngram_join, sharding, token_counts, warc
 from tidelog.llm.common import table
 from tidelog.llm.words import load_pieces
 
@@ -79,3 +79,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op9_warc"] = op9_warc
 ORACLE_SQL["op9_warc"] = warc.ORACLE_SQL
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op7_ngram_join"] = op7_ngram_join
