@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import ann, bpe, exact_dedup, langid, mixing, ngram_join, sharding, token_counts, warc
+from tidelog.llm import ann, bpe, exact_dedup, html_extract, langid, mixing, ngram_join, sharding, token_counts, warc
 from tidelog.llm.common import table
 from tidelog.llm.words import load_pieces
 
@@ -86,3 +86,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_ngram_join"] = op7_ngram_join
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+QUERIES["op3_html"] = op3_html
