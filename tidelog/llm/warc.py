@@ -151,10 +151,10 @@ def round_trip(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, "warc")
     write(df, path)
-    captures = assemble(materialise(read(spark, path, payload=False).drop("payload"), "warc-records"))
-    flat = captures.select("capture_id", F.col("metadata.fields")["page-id"].cast("long").alias("page_id"), "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("_to"))
-    flat = materialise(flat, "warc-captures")
-    named = flat.filter("_to IS NOT NULL").groupBy("_to").count().select(F.col("_to").alias("capture_id")).join(flat.select("capture_id", "page_id"), "capture_id").select(F.col("capture_id").alias("_c"), F.col("page_id").alias("refers_to"))
+    records = materialise(read(spark, path, payload=False).drop("payload"), "warc-records")
+    page = lambda fields: fields["page-id"].cast("long")
+    flat = assemble(records).select(page(F.col("metadata.fields")).alias("page_id"), "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("_to"))
+    named = records.filter("type = 'metadata'").select(F.col("concurrent_to").alias("_c"), page(F.col("fields")).alias("refers_to"))
     return flat.join(named, F.col("_to") == F.col("_c"), "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
