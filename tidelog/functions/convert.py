@@ -103,7 +103,7 @@ def time(micros: Column) -> Column:
 
 def timetz(micros: Column, zone_seconds: Column) -> Column:
     """A time with zone, brought to UTC within the day."""
-    return time(F.pmod(micros + zone_seconds * 1_000_000, F.lit(86_400_000_000)))
+    return time(F.pmod(micros + zone_seconds.cast("bigint") * 1_000_000, F.lit(86_400_000_000)))
 
 
 def timetz_text(text: Column) -> Column:
