@@ -61,8 +61,8 @@ def keyset_page_orders(spark, sf):
     return snapshot.page(table(spark, sf, "orders"), ["o_orderkey"], (100,), (50000,), 1000).select("o_orderkey", "o_custkey")
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE NOT (l_orderkey, l_linenumber::BIGINT, l_partkey, l_suppkey) <= (10::BIGINT, 2::BIGINT, 0::BIGINT, 0::BIGINT)
-AND NOT (l_orderkey, l_linenumber::BIGINT, l_partkey, l_suppkey) > (5000::BIGINT, 3::BIGINT, 100::BIGINT, 10::BIGINT) ORDER BY 1, 2, 3, 4 LIMIT 500""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE (l_orderkey > 10 OR (l_orderkey = 10 AND (l_linenumber > 2 OR (l_linenumber = 2 AND (l_partkey > 0 OR (l_partkey = 0 AND l_suppkey > 0))))))
+AND (l_orderkey < 5000 OR (l_orderkey = 5000 AND (l_linenumber < 3 OR (l_linenumber = 3 AND (l_partkey < 100 OR (l_partkey = 100 AND l_suppkey <= 10)))))) ORDER BY 1, 2, 3, 4 LIMIT 500""")
 def keyset_page_lineitem(spark, sf):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     return snapshot.page(table(spark, sf, "lineitem").select(*[F.col(k).cast("long").alias(k) for k in keys]), keys, (10, 2, 0, 0), (5000, 3, 100, 10), 500)
