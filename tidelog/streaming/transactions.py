@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -12,28 +14,27 @@ OUT = "xid long, lsn long, kind string, body string, held boolean"
 def committed(stream: DataFrame, most: int = 10_000, timeout_ms: int = 60_000) -> DataFrame:
     """(xid, lsn, kind, body) rows, kind C being a commit: a transaction's rows leave in order once its commit, the size limit or the time-out is reached; later rows pass straight through."""
 
+    def out(xid, rows, held):
+        return pd.DataFrame([(xid, n, k, b, held) for n, k, b in sorted(rows) if k != "C"], columns=["xid", "lsn", "kind", "body", "held"])
+
     def step(key, frames, state: GroupState):
-        xids, lsns, kinds, bodies, through = state.get if state.exists else ([], [], [], [], False)
-        xids, lsns, kinds, bodies = list(xids), list(lsns), list(kinds), list(bodies)
-        rows = list(zip(lsns, kinds, bodies, strict=True))
+        text, through = state.get if state.exists else ("[]", False)
+        rows, xid = [tuple(r) for r in json.loads(text)], int(key[0])
         if state.hasTimedOut:
-            state.update(([], [], [], [], True))
-            if rows:
-                yield pd.DataFrame([(key[0], n, k, b, True) for n, k, b in sorted(rows)], columns=["xid", "lsn", "kind", "body", "held"])
+            state.update(("[]", True))
+            yield out(xid, rows, True)
             return
-        done = False
         for f in frames:
-            rows += list(zip(f["lsn"], f["kind"], f["body"], strict=True))
-            done = done or (f["kind"] == "C").any()
-        if done or through or len(rows) > most:
-            if done:
+            rows += [(int(n), str(k), None if b is None else str(b)) for n, k, b in zip(f["lsn"], f["kind"], f["body"], strict=True)]
+        if any(k == "C" for _, k, _ in rows):
+            if state.exists:
                 state.remove()
-            else:
-                state.update(([], [], [], [], True))
-            yield pd.DataFrame([(key[0], n, k, b, not through) for n, k, b in sorted(rows) if k != "C"], columns=["xid", "lsn", "kind", "body", "held"])
-            return
-        rows.sort()
-        state.update(([key[0]] * len(rows), [int(r[0]) for r in rows], [r[1] for r in rows], [r[2] for r in rows], False))
-        state.setTimeoutDuration(timeout_ms)
+            yield out(xid, rows, not through)
+        elif through or len(rows) > most:
+            state.update(("[]", True))
+            yield out(xid, rows, not through)
+        else:
+            state.update((json.dumps(rows), False))
+            state.setTimeoutDuration(timeout_ms)
 
-    return stream.groupBy("xid").applyInPandasWithState(step, OUT, "xids array<long>, lsns array<long>, kinds array<string>, bodies array<string>, through boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.groupBy("xid").applyInPandasWithState(step, OUT, "open string, through boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
