@@ -1,5 +1,5 @@
 import pytest
-from conftest import SF, same_rows
+from tests.conftest import SF, same_rows
 from tidelog.plans.queries import ORACLE_SQL, QUERIES
 
 
