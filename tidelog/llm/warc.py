@@ -152,7 +152,7 @@ def round_trip(df: DataFrame) -> DataFrame:
     path = scratch(spark, "warc")
     write(df, path)
     records = materialise(read(spark, path, payload=False).drop("payload"), "warc-records")
-    page = lambda fields: fields["page-id"].cast("long")
+    page = lambda fields: fields["page-id"].try_cast("long")
     flat = assemble(records).select(page(F.col("metadata.fields")).alias("page_id"), "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("_to"))
     named = records.filter("type = 'metadata'").select(F.col("concurrent_to").alias("_c"), page(F.col("fields")).alias("refers_to"))
     return flat.join(named, F.col("_to") == F.col("_c"), "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
