@@ -231,6 +231,7 @@ def labelled_pages(n: int, seed: int = 5) -> list[str]:
         before = [menu() if r.random() < 0.85 else "", banner(), extra(), extra() if r.random() < 0.5 else ""]
         after = [extra(), comments() if r.random() < 0.45 else "", extra() if r.random() < 0.4 else "", foot() if r.random() < 0.9 else ""]
         r.shuffle(before)
+        before, after = ([] if r.random() < 0.12 else before), ([] if r.random() < 0.12 else after)
         pages.append(f"<!DOCTYPE html><html><head><title>{short()}</title><script>var t='</p>';</script></head><body>{''.join(before)}{article}{''.join(after)}</body></html>")
     return pages
 
