@@ -122,6 +122,25 @@ def byte_table(ranks: dict[bytes, int]) -> np.ndarray:
     return out << RANK_SHIFT | np.array([ranks[bytes([i])] for i in range(256)], np.int64)[:, None]
 
 
+#: For texts of ASCII and Latin letters only, where the built-in engine's classes are those of the tokenizer's usual pattern.
+USUAL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|[ \t-\r]+(?!\S)|[ \t-\r]+"
+BEYOND = "[^\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
+
+
+def splitter(pattern: str):
+    """A function from a text to its list of words."""
+    import re
+
+    import regex
+
+    full = regex.compile(pattern).findall
+    if pattern != USUAL:
+        return full
+    plain, beyond = re.compile(PLAIN).findall, re.compile(BEYOND).search
+    return lambda text: full(text) if beyond(text) else plain(text)
+
+
 def _byte_lists(words: list[str], byte_ids: np.ndarray) -> pa.ListArray:
     raw = [w.encode() for w in words]
     offsets = np.zeros(len(raw) + 1, np.int32)
@@ -142,9 +161,7 @@ def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int
     sample = df if rows <= sample_rows else df.filter(F.pmod(F.xxhash64(df.columns[0]), F.lit(rows)) < sample_rows)
 
     def count_words(batches):
-        import regex
-
-        find, n = regex.compile(pattern).findall, {}
+        find, n = splitter(pattern), {}
         for part in text_slices(batches, 0, BLOCK_BYTES):
             for text in part.column(0).to_pylist():
                 for w in find(text or ""):
@@ -171,7 +188,7 @@ def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int
     return words, ids.flatten().to_numpy().astype(np.uint32), np.concatenate([[0], np.cumsum(lengths)])
 
 
-def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool = False, cached: int = 200_000, sample_rows: int = 20_000) -> DataFrame:
+def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool = False, cached: int = 400_000, sample_rows: int = 20_000) -> DataFrame:
     """df's other columns, then n_tokens, ids_sha256, decoded_sha256 (and with_ids: ids array<int>, decoded binary)."""
     spark = df.sparkSession
     ranks = load_ranks(path)
@@ -190,9 +207,7 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
     known = spark.sparkContext.broadcast((flat, offsets, np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])))
 
     def split(batches):
-        import regex
-
-        find = regex.compile(pattern).findall
+        find = splitter(pattern)
         fixed = listed.value
         known_words: defaultdict[str, int] = defaultdict()
 
