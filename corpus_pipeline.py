@@ -41,7 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source and the token ids of each document."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text", path, public_tokenizers.PATTERN, with_ids=True).drop("decoded")
+    return bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text", path, public_tokenizers.PATTERN, with_ids=True, cached=200_000)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", dedup), ("near_dedup", near_dedup), ("mixing", mix), ("bpe", tokenise)]

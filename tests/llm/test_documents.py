@@ -42,7 +42,7 @@ def test_sql(spark, oracle, name):
 
 def check_bpe(df):
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
-    got = bpe.encode(df.select("doc_id", "text", F.col("text").alias("whole")), "text", RANKS, P.PATTERN, with_ids=True, cached=500, sample_rows=5).collect()
+    got = bpe.encode(df.select("doc_id", "text", F.col("text").alias("whole")), "text", RANKS, P.PATTERN, with_ids=True, with_decoded=True, cached=500, sample_rows=5).collect()
     for r in got:
         ids = enc.encode_ordinary(r.whole or "")
         assert r.ids == ids and r.n_tokens == len(ids) and bytes(r.decoded) == (r.whole or "").encode()

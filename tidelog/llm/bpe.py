@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import free_name, let, ragged, text_slices
+from tidelog.llm.common import bound_batches, free_name, give_back, let, ragged, text_slices
 
 BLOCK_BYTES = 2 << 20
 SHIFT = 17  #: ids are below 2**17
@@ -188,9 +188,10 @@ def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int
     return words, ids.flatten().to_numpy().astype(np.uint32), np.concatenate([[0], np.cumsum(lengths)])
 
 
-def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool = False, cached: int = 400_000, sample_rows: int = 20_000) -> DataFrame:
-    """df's other columns, then n_tokens, ids_sha256, decoded_sha256 (and with_ids: ids array<int>, decoded binary)."""
+def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool = False, with_decoded: bool = False, cached: int = 400_000, sample_rows: int = 20_000) -> DataFrame:
+    """df's other columns, then n_tokens, ids_sha256, decoded_sha256 (with_ids: ids array<int>; with_decoded: decoded binary)."""
     spark = df.sparkSession
+    bound_batches(spark)
     ranks = load_ranks(path)
     byte_ids = byte_table(ranks)
     kept = [f for f in df.schema.fields if f.name != text]
@@ -229,6 +230,8 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
             rows = pa.StructArray.from_arrays([*part.columns[1:], pa.array(np.arange(part.num_rows, dtype=np.int32))], names=[f"c{i}" for i in range(part.num_columns - 1)] + ["row"])
             one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
             yield pa.RecordBatch.from_arrays([one(rows), one(pa.array(counts, pa.int32())), one(pa.array(np.concatenate(refs))), one(_byte_lists(new, byte_ids)), pa.array([before - len(fixed)], pa.int32())], names=["rows", "counts", "refs", "words", "before"])
+        known_words.clear()
+        give_back()
 
     def assemble(batches):
         flat, offsets, table, ends = known.value
@@ -256,16 +259,21 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
                     dec_sha.append(hashlib.sha256(decoded).hexdigest())
                     if with_ids:
                         id_lists.append(tokens.astype(np.int32))
+                    if with_decoded:
                         raw.append(decoded)
                 cols = [rows.field(k) for k in range(rows.type.num_fields - 1)] + [pa.array(n_tok, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(dec_sha, pa.string())]
                 if with_ids:
-                    cols += [pa.array(id_lists, pa.list_(pa.int32())), pa.array(raw, pa.binary())]
+                    cols.append(pa.array(id_lists, pa.list_(pa.int32())))
+                if with_decoded:
+                    cols.append(pa.array(raw, pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=[f"o{k}" for k in range(len(cols))])
+        del pool, starts, lens
+        give_back()
 
     blocks = T.StructType([T.StructField("rows", T.ArrayType(carried)), T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("refs", T.ArrayType(T.IntegerType())), T.StructField("words", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("before", T.IntegerType())])
     done = [T.StructField(f"o{i}", f.dataType) for i, f in enumerate(kept)] + [T.StructField(f"o{len(kept)}", T.LongType()), T.StructField(f"o{len(kept) + 1}", T.StringType()), T.StructField(f"o{len(kept) + 2}", T.StringType())]
-    if with_ids:
-        done += [T.StructField(f"o{len(kept) + 3}", T.ArrayType(T.IntegerType())), T.StructField(f"o{len(kept) + 4}", T.BinaryType())]
+    for kind in [T.ArrayType(T.IntegerType())] * with_ids + [T.BinaryType()] * with_decoded:
+        done.append(T.StructField(f"o{len(done)}", kind))
     folded = whole.mapInArrow(split, blocks).select("rows", "counts", "refs", F.transform("words", lambda w: merge_fold(w, path).cast("array<int>")).alias("words"), "before")
-    final = [*names, out_n, out_ids, out_dec, *([out_list, out_raw] if with_ids else [])]
+    final = [*names, out_n, out_ids, out_dec, *[out_list] * with_ids, *[out_raw] * with_decoded]
     return folded.mapInArrow(assemble, T.StructType(done)).toDF(*final)

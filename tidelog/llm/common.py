@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
@@ -44,6 +45,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Arrow batches between Spark and Python hold this much at most: whole texts make batches by row count far too large.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limits of Arrow batches where they are higher."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = re.sub(r"\D", "", str(spark.conf.get(key)))
+        if not now or int(now) > most or int(now) <= 0:
+            spark.conf.set(key, str(most))
+
+
 def free_name(taken: list[str], wish: str) -> str:
     """wish, or wish with underscores in front where a column of that name exists."""
     low = {c.lower() for c in taken}
@@ -80,3 +93,16 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def give_back() -> None:
+    """Returns a Python worker's free memory to the system; workers stay alive between tasks."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library

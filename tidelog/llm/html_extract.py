@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import free_name, text_slices
+from tidelog.llm.common import bound_batches, free_name, text_slices
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe|select|button|canvas|object)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z""", re.S | re.I)
 ATTRS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -288,6 +288,7 @@ def extract(df: DataFrame, html: str = "html") -> DataFrame:
     """df's other columns, text and n_chars (code points)."""
     kept = [f for f in df.schema.fields if f.name != html]
     names = [f.name for f in kept]
+    bound_batches(df.sparkSession)
     f = trained()
     shared = df.sparkSession.sparkContext.broadcast((list(f.index), f.w, f.trans, f.first))  # a fixed size
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import free_name, text_slices
+from tidelog.llm.common import bound_batches, free_name, give_back, text_slices
 from tidelog.llm.words import MARK, SLICE_BYTES, Trie, WordCache, code_points, distinct_words
 
 SCALE = 16.0  #: keeps forward values near 1: every character counts this much more
@@ -165,6 +165,7 @@ def predict(df: DataFrame, text: str, langs: list[str], p: np.ndarray, pieces: t
     def run(batches):
         langs, p, pieces = shared.value
         trie = Trie(pieces)
+        trie.links = None  # the arrays are enough here
 
         def scores(words):  # log probability by language, then the number of letters
             plain = [letters(w) for w in words]
@@ -194,6 +195,8 @@ def predict(df: DataFrame, text: str, langs: list[str], p: np.ndarray, pieces: t
             pred = [langs[best[i]] if langs and n[i] else "und" for i in range(len(per))]
             score = np.where(n > 0, share, 0.0) if langs else np.zeros(len(per))
             yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[f"c{i}" for i in range(len(names) + 2)])
+        del cache, trie, p
+        give_back()
 
     types = T.StructType([T.StructField(f"c{i}", t) for i, t in enumerate([*(f.dataType for f in df.schema.fields), T.StringType(), T.DoubleType()])])
     out = df.select(F.col(f"`{text}`").cast("string").alias("t"), *[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]).mapInArrow(run, types)
@@ -206,6 +209,7 @@ def held_out(id_col: Column) -> Column:
 
 def identify(df: DataFrame, id_col: str, text: str, lang: str, pieces: tuple[str, ...], *, keep: list[str] | None = None, sample_docs: int = 1500, top_words: int = 15_000) -> DataFrame:
     """Fit on the rows that are not held out, predict all: the columns in keep (default: all), held_out, lang_pred, score."""
+    bound_batches(df.sparkSession)
     counts = training_counts(df, id_col, text, lang, ~held_out(F.col(f"`{id_col}`")), sample_docs, top_words)
     langs, p = fit(counts, pieces) if counts else ([], np.zeros((len(pieces) + 1, 0)))
     keep = df.columns if keep is None else keep

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import materialise, text_slices
+from tidelog.llm.common import bound_batches, materialise, text_slices
 from tidelog.llm.components import components
 from tidelog.llm.words import SLICE_BYTES, distinct_words
 
@@ -106,6 +106,7 @@ def sketch(df: DataFrame, id_col: str, text: str) -> DataFrame:
                 sigs.append(next(sig).tobytes() if n else None)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.binary()), pa.array(per, pa.int64()), pa.array(sigs, pa.binary())], names=["text", "id", "rid", "node", "n_shingles", "sig"])
 
+    bound_batches(df.sparkSession)
     rows = df.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{id_col}`").cast("long").alias("id"), F.monotonically_increasing_id().alias("rid"))
     return materialise(rows.mapInArrow(run, "text string, id long, rid long, node binary, n_shingles long, sig binary"), "ngram-sketch")
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import free_name, text_slices
+from tidelog.llm.common import bound_batches, free_name, text_slices
 from tidelog.llm.words import MARK, SLICE_BYTES, Trie, WordCache, code_points, distinct_words
 
 
@@ -82,6 +82,7 @@ def count_tokens(df: DataFrame, text: str, pieces: tuple[str, ...]) -> DataFrame
     """df's other columns, n_words and n_tokens."""
     kept = [f for f in df.schema.fields if f.name != text]
     names = [f.name for f in kept]
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(pieces)  # the vocabulary: a fixed size
 
     def run(batches):

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 MARK = "▁"
 
 
@@ -95,7 +95,7 @@ class Trie:
 class WordCache:
     """Rows of numbers by word, computed in bulk for words not seen before; forgets all beyond `most` words."""
 
-    def __init__(self, compute, width: int, most: int = 400_000):
+    def __init__(self, compute, width: int, most: int = 150_000):
         self.compute, self.most, self.at, self.rows = compute, most, {}, np.zeros((0, width))
 
     def get(self, words: list[str]) -> np.ndarray:
