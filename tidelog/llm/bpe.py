@@ -207,6 +207,9 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
     listed = spark.sparkContext.broadcast(words)
     known = spark.sparkContext.broadcast((flat, offsets, np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])))
 
+    del words, flat, offsets, pieces
+    give_back()  # the driver keeps the broadcast form only
+
     def split(batches):
         find = splitter(pattern)
         fixed = listed.value

@@ -212,6 +212,7 @@ def identify(df: DataFrame, id_col: str, text: str, lang: str, pieces: tuple[str
     bound_batches(df.sparkSession)
     counts = training_counts(df, id_col, text, lang, ~held_out(F.col(f"`{id_col}`")), sample_docs, top_words)
     langs, p = fit(counts, pieces) if counts else ([], np.zeros((len(pieces) + 1, 0)))
+    give_back()  # the driver is done fitting
     keep = df.columns if keep is None else keep
     flagged = df.select(*[F.col(f"`{c}`") for c in keep], held_out(F.col(f"`{id_col}`")).alias(free_name(keep, "held_out")), *([] if text in keep else [F.col(f"`{text}`")]))
     out = predict(flagged, text, langs, p, pieces)
