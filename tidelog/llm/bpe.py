@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import bound_batches, free_name, give_back, let, ragged, text_slices
+from tidelog.llm.common import bound_batches, bound_plan_strings, free_name, give_back, let, materialise, ragged, text_slices
 
 BLOCK_BYTES = 2 << 20
 SHIFT = 17  #: ids are below 2**17
@@ -179,12 +179,13 @@ def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int
             yield pa.RecordBatch.from_arrays([b.column(0), _byte_lists(b.column(0).to_pylist(), byte_ids)], names=["w", "b"])
 
     cores = max(2, df.sparkSession.sparkContext.defaultParallelism)
-    got = top.select("w").repartition(4 * cores).mapInArrow(as_bytes, "w string, b array<bigint>").select("w", merge_fold(F.col("b"), path).cast("array<int>").alias("ids")).toArrow().combine_chunks()
+    listed = materialise(top.select("w").repartition(4 * cores), "bpe-words")  # a plan with the rank map has no exchange: Spark describes it once, not at each new stage
+    got = listed.mapInArrow(as_bytes, "w string, b array<bigint>").select("w", merge_fold(F.col("b"), path).cast("array<int>").alias("ids")).toArrow().combine_chunks()
     if not got.num_rows:
         return [], np.zeros(0, np.uint32), np.zeros(1, np.int64)
     words, ids = got["w"].to_pylist(), got["ids"].combine_chunks()
     ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-    lengths = np.array([len(x) for x in ids.to_pylist()], np.int64)
+    lengths = np.diff(ids.offsets.to_numpy()).astype(np.int64)
     return words, ids.flatten().to_numpy().astype(np.uint32), np.concatenate([[0], np.cumsum(lengths)])
 
 
@@ -192,6 +193,7 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
     """df's other columns, then n_tokens, ids_sha256, decoded_sha256 (with_ids: ids array<int>; with_decoded: decoded binary)."""
     spark = df.sparkSession
     bound_batches(spark)
+    bound_plan_strings(spark)
     ranks = load_ranks(path)
     byte_ids = byte_table(ranks)
     kept = [f for f in df.schema.fields if f.name != text]

@@ -57,6 +57,17 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+#: The driver keeps a description of each plan; one with a literal table has megabytes of digits.
+PLAN_CHARS = 1 << 18
+
+
+def bound_plan_strings(spark: SparkSession) -> None:
+    """Lowers the session's limit of the descriptions of plans where it is higher."""
+    key = "spark.sql.maxPlanStringLength"
+    if not re.fullmatch(r"\d+", now := str(spark.conf.get(key))) or int(now) > PLAN_CHARS:
+        spark.conf.set(key, str(PLAN_CHARS))
+
+
 def free_name(taken: list[str], wish: str) -> str:
     """wish, or wish with underscores in front where a column of that name exists."""
     low = {c.lower() for c in taken}
