@@ -3,6 +3,7 @@
 import gzip
 
 import numpy as np
+import pyarrow as pa
 from tidelog.llm import ann, html_extract, warc
 from pyspark.sql import functions as F
 
@@ -73,6 +74,24 @@ def test_ann_recall(spark):
     assert hit >= 0.9 * total
 
 
+def test_ann_recall_of_many_clustered_vectors(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 64))
+    x = (centres / np.linalg.norm(centres, axis=1)[:, None])[rng.integers(0, 40, 40_000)] + rng.normal(size=(40_000, 64)) * 0.06
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(40_000), "embedding": pa.array(list(x))}))
+    got: dict[int, set] = {}
+    for r in ann.search(df, "vec_id", "embedding", F.col("vec_id") % 400 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert sorted(got) == list(range(0, 40_000, 400))
+    hit = 0
+    for i in got:
+        s = x @ x[i]
+        s[i] = -np.inf
+        hit += len(got[i] & set(np.argpartition(-s, 20)[:20].tolist()))
+    assert hit >= 0.98 * 20 * len(got)
+
+
 def test_ann_cases(spark):
     nan, inf = float("nan"), float("inf")
     good = [(i, [float(i % 3), 1.0]) for i in range(60)]

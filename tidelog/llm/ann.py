@@ -4,8 +4,9 @@ Coarse centroids and code books are fitted by k-means on a bounded sample (`samp
 most, chosen by hash of the id); every vector is indexed: its cell, and one code for each part of
 its residual. A query probes the cells with the largest inner products; how many is set on the
 sample, so that `recall` of its true neighbours lie in probed cells. Within a cell, asymmetric
-distance tables rank the vectors and the best are reranked by exact inner products in double
-precision. A cell of many vectors is cut into parts by hash of the id, so a very common vector is
+distance tables estimate the inner products, and every vector's quantisation error bounds how far its
+estimate can be off: reranked, by exact inner products in double precision, are all vectors whose
+bound reaches the k-th safe one, so that of probed cells no true neighbour is lost. A cell of many vectors is cut into parts by hash of the id, so a very common vector is
 spread over many tasks and no task holds more than about `part` vectors.
 
 Defined cases: vectors that are null, empty, zero, or hold nulls or non-finite numbers take no
@@ -71,6 +72,12 @@ class Model:
         rest, w = x - self.centroids[cell], self.books.shape[2]
         return np.stack([nearest(rest[:, i * w : (i + 1) * w], b) for i, b in enumerate(self.books)], axis=1).astype(np.uint8)
 
+    def errors(self, x: np.ndarray, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Length of what cell and codes leave out of each vector, and a little for rounding: times a query's length it bounds the error of an estimate."""
+        rest = x - self.centroids[cell]
+        off = np.linalg.norm(rest - self.books[np.arange(codes.shape[1]), codes].reshape(rest.shape), axis=1)
+        return off + 1e-12 * (np.linalg.norm(x, axis=1) + np.linalg.norm(rest, axis=1) + off)
+
     def probed(self, q: np.ndarray) -> np.ndarray:
         return np.argsort(-(q @ self.centroids.T), axis=1, kind="stable")[:, : self.probes]
 
@@ -84,7 +91,7 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy().reshape(len(col), dim)
 
 
-def search(df: DataFrame, id_col: str, vec_col: str, queries: Column, *, k: int = 20, shortlist: int = 128, sample: int = 16_384, part: int = 4096, recall: float = 0.99) -> DataFrame:
+def search(df: DataFrame, id_col: str, vec_col: str, queries: Column, *, k: int = 20, sample: int = 16_384, part: int = 4096, recall: float = 0.99) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row for which `queries` holds."""
     spark = df.sparkSession
     out_type = "query_id long, rank int, vec_id long, score double"
@@ -107,37 +114,40 @@ def search(df: DataFrame, id_col: str, vec_col: str, queries: Column, *, k: int
             v = _matrix(b.column(1), dim)
             cell = nearest(v, m.centroids)
             codes = m.encode(v, cell)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cell, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(list(m.probed(v).astype(np.int32)) if len(v) else [], pa.list_(pa.int32()))], names=["id", "v", "q", "cell", "codes", "probes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cell, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(m.errors(v, cell, codes), pa.float64()), pa.array(list(m.probed(v).astype(np.int32)) if len(v) else [], pa.list_(pa.int32()))], names=["id", "v", "q", "cell", "codes", "off", "probes"])
 
-    indexed = rows.mapInArrow(index, "id long, v array<double>, q boolean, cell int, codes binary, probes array<int>")
+    indexed = rows.mapInArrow(index, "id long, v array<double>, q boolean, cell int, codes binary, off double, probes array<int>")
     from tidelog.llm.common import materialise
 
     indexed = materialise(indexed.withColumn("probes", F.when(F.col("q"), F.col("probes"))), "ann-index")
     sizes = {r["cell"]: r["n"] for r in indexed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # a row for each cell
     n_parts = F.array(*[F.lit(max(1, math.ceil(sizes.get(c, 0) / part))) for c in range(max(sizes) + 1)])
     spread = F.get(n_parts, F.col("cell"))
-    held = indexed.select("cell", F.pmod(F.xxhash64("id"), spread).cast("int").alias("part"), F.lit(0).alias("kind"), "id", "v", "codes")
+    held = indexed.select("cell", F.pmod(F.xxhash64("id"), spread).cast("int").alias("part"), F.lit(0).alias("kind"), "id", "v", "codes", "off")
     asked = indexed.filter("q").select("id", "v", F.explode("probes").alias("cell")).filter(spread.isNotNull())
-    asked = asked.select("cell", F.explode(F.sequence(F.lit(0), spread - 1)).alias("part"), F.lit(1).alias("kind"), "id", "v", F.lit(None).cast("binary").alias("codes"))
+    asked = asked.select("cell", F.explode(F.sequence(F.lit(0), spread - 1)).alias("part"), F.lit(1).alias("kind"), "id", "v", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("off"))
     keyed = held.unionByName(asked).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind", "id")
 
     def answer(batches):
         m = model.value
-        key, ids, vecs, codes = None, [], [], []
+        key, ids, vecs, codes, offs = None, [], [], [], []
         block = None
 
         def ranked(q_ids, q):
-            ids_, v_, c_ = block
+            ids_, v_, c_, off = block
             adc = (q @ m.centroids[key[0]])[:, None] + np.zeros((1, len(ids_)))
             t = m.tables(q)
             for i in range(c_.shape[1]):
                 adc += t[:, i, :][:, c_[:, i]]
-            adc[q_ids[:, None] == ids_[None, :]] = -np.inf
-            best = np.argsort(-adc, axis=1, kind="stable")[:, :shortlist]
-            exact = np.einsum("qd,qnd->qn", q, v_[best])
+            same = q_ids[:, None] == ids_[None, :]
+            adc[same] = -np.inf
+            slack = np.linalg.norm(q, axis=1)[:, None] * off
+            most = min(k, len(ids_))
+            bar = np.partition(adc - slack, len(ids_) - most, axis=1)[:, len(ids_) - most]  # k vectors reach it for certain
+            may = ~(adc + slack < bar[:, None]) & ~same
             for i, q_id in enumerate(q_ids.tolist()):
-                own = best[i][adc[i, best[i]] > -np.inf]
-                s = exact[i, : len(own)]
+                own = np.flatnonzero(may[i])
+                s = np.einsum("d,nd->n", q[i], v_[own])
                 order = np.lexsort((ids_[own], -s))[:k]
                 yield q_id, s[order], ids_[own][order]
 
@@ -148,16 +158,17 @@ def search(df: DataFrame, id_col: str, vec_col: str, queries: Column, *, k: int
             for s, e in zip(cuts, cuts[1:], strict=False):
                 sub = b.slice(s, e - s)
                 if (cells[s], parts[s]) != key:
-                    key, ids, vecs, codes, block = (cells[s], parts[s]), [], [], [], None
+                    key, ids, vecs, codes, offs, block = (cells[s], parts[s]), [], [], [], [], None
                 if kinds[s] == 0:
                     ids.append(sub.column(3).to_numpy())
                     vecs.append(_matrix(sub.column(4), dim))
                     codes.append(np.frombuffer(b"".join(sub.column(5).to_pylist()), np.uint8).reshape(e - s, -1))
+                    offs.append(sub.column(6).to_numpy())
                     continue
                 if block is None:
                     if not ids:
                         continue
-                    block = np.concatenate(ids), np.concatenate(vecs), np.concatenate(codes)
+                    block = np.concatenate(ids), np.concatenate(vecs), np.concatenate(codes), np.concatenate(offs)
                 for i in range(0, e - s, 64):
                     one = sub.slice(i, 64)
                     out += ranked(one.column(3).to_numpy(), _matrix(one.column(4), dim))
