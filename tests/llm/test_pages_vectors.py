@@ -31,6 +31,14 @@ def test_extraction_cases(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_extraction_of_heads_without_end(spark):
+    body = "<article><h1>A head</h1><p>One two, three.</p><p>Four five six.</p></article>"
+    heads = ["<head><title>t</title>", "<html><head><meta charset=utf-8><title>t</title><style>p{}</style>\n", '<head><link rel=x href="y""><title>t</title></head><body>', "<head><title>t</title></head><body>"]
+    df = spark.createDataFrame([(i, h + body) for i, h in enumerate(heads)], "page_id long, html string")
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == dict.fromkeys(range(4), "A head\nOne two, three.\nFour five six.")
+    assert [b[0] for b in html_extract.blocks("<head><title>t</title> One <b>two</b><p>three")] == ["One two", "three"]
+
+
 def test_warc_cases(spark):
     big = "<p>" + "x" * 200 + "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n</p>"
     rows = [(5, "http://a.example/x?y#z", big), (3, None, big), (3, None, big), (9, "no\r\nurl", big), (7, "u", "short"), (8, "u", "short"), (1, "u", None), (None, "u", ""), (2, "u", "é" * 60)]

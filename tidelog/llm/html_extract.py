@@ -40,6 +40,10 @@ BLOCKS = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol
 #: What an element's start tag closes when it is still open.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 STOPS = frozenset("ul ol dl table div section article main aside nav header footer form blockquote body html".split())
+#: Start tags that leave a head open; others, and text, end it, as </head> may be left out.
+HEADS = frozenset("html head title meta link base basefont bgsound script style noscript template".split())
+#: Tags with a stray quote, which TOKEN does not read: no text of a head.
+BROKEN = re.compile(r"</?[a-zA-Z][^<>]*>")
 SPACE = re.compile(r"\s+")
 WORDS = re.compile(r"[a-z]+")
 
@@ -62,8 +66,11 @@ def blocks(page: str) -> list[tuple[str, float, tuple[str, ...]]]:
         linked = 0
 
     def add(piece: str):
-        nonlocal linked
-        if piece and not head:
+        nonlocal linked, head
+        if piece and head:
+            piece = BROKEN.sub("", piece)
+            head = not piece.strip()
+        if piece:
             parts.append(piece)
             linked += len(piece) if in_link else 0
 
@@ -76,7 +83,7 @@ def blocks(page: str) -> list[tuple[str, float, tuple[str, ...]]]:
         closing = m.group(2)
         if tag == "head":
             head = not closing
-        elif tag == "body":
+        elif not closing and tag not in HEADS:
             head = False
         if tag == "a":
             in_link = 0 if closing else 1
