@@ -148,6 +148,29 @@ def test_stream_source(spark, tmp_path):
     assert [r.lsn for r in spark.table("log").orderBy("lsn").collect()] == [3, 4, 5, 6, 7]
 
 
+def test_stream_source_of_equal_positions_and_unordered_files(tmp_path):
+    import json
+
+    from tidelog.sources.wal import LogReader
+
+    put = lambda name, rows: (tmp_path / name).write_text("".join(json.dumps(dict(zip(("lsn", "seq", "msg_type"), r, strict=True))) + "\n" for r in rows))
+    put("a.json", [(3, 0, "R"), (7, 1, "I"), (7, 0, "I"), (7, 3, "I"), (9, 0, "I")])
+    put("b.json", [(2, 0, "I"), (6, 0, "I"), (7, 2, "I"), (8, 0, "R")])
+    for batch in range(1, 11):
+        reader = LogReader({"path": str(tmp_path), "batch": str(batch), "startlsn": "5"})
+        got, at, cuts = [], reader.initialOffset(), []
+        while True:
+            rows, end = reader.read(at)
+            rows = list(rows)
+            if not rows:
+                break
+            assert end != at and rows == list(reader.readBetweenOffsets(at, end))
+            got, at = got + rows, end
+            cuts.append(len(rows))
+        assert [(r[0], json.loads(r[1])["seq"]) for r in got] == [(3, 0), (6, 0), (7, 0), (7, 1), (7, 2), (7, 3), (8, 0), (9, 0)], batch
+        assert max(cuts) <= batch + 3
+
+
 def test_open_transactions_wait(spark, tmp_path):
     from tidelog.streaming.transactions import committed
 

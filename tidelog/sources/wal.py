@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import glob
+import heapq
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
@@ -15,7 +17,12 @@ def replay(spark: SparkSession, path: str) -> DataFrame:
 
 
 class LogStream(DataSource):
-    """format("tidelog"): streams (lsn, body) of JSON lines files in `path`, `batch` messages a trigger. Offsets are positions."""
+    """format("tidelog"): streams (lsn, body) of JSON lines files in `path`, ordered by (lsn, seq) across files. Offsets are positions.
+
+    A trigger reads `batch` messages and on to the end of the last one's position, so that no position is split. Relation messages up to `startlsn`
+    come first: later rows need them. Files are put into the folder whole, and in the log's order: one put there when larger positions have
+    already been read is not looked at any more.
+    """
 
     @classmethod
     def name(cls):
@@ -34,28 +41,27 @@ class LogReader(SimpleDataSourceStreamReader):
         self.start = int(options.get("startlsn", "0"))
 
     def initialOffset(self):
-        return {"lsn": self.start}
-
-    def _rows(self, after: int):
-        import json
+        return {"lsn": self.start, "relations": True}  # relation messages up to lsn are still to come
 
+    def _rows(self, start):
         for name in sorted(glob.glob(f"{self.path}/*.json")):
             with open(name) as f:
                 for line in f:
-                    lsn = json.loads(line)["lsn"]
-                    if lsn > after:
-                        yield lsn, line.rstrip("\n")
+                    m = json.loads(line)
+                    if m["lsn"] > start["lsn"] or start.get("relations") and m.get("msg_type") == "R":
+                        yield m["lsn"], m.get("seq") or 0, line.rstrip("\n")
 
     def read(self, start):
-        rows = []
-        for r in self._rows(start["lsn"]):
-            rows.append(r)
-            if len(rows) == self.batch:
-                break
-        return iter(rows), {"lsn": rows[-1][0] if rows else start["lsn"]}
+        found = (r[0] for r in self._rows(start))
+        first = heapq.nsmallest(self.batch, found) if self.batch > 0 else sorted(found)
+        if not first:
+            return iter([]), start
+        end = {"lsn": max(first[-1], start["lsn"])}
+        return self.readBetweenOffsets(start, end), end
 
     def readBetweenOffsets(self, start, end):
-        return iter([r for r in self._rows(start["lsn"]) if r[0] <= end["lsn"]])
+        rows = [] if start == end else sorted((r for r in self._rows(start) if r[0] <= end["lsn"]), key=lambda r: r[:2])
+        return iter([(lsn, body) for lsn, _, body in rows])
 
     def commit(self, end):
         """Positions up to end are confirmed; a replication slot would be told so here."""
