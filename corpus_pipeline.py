@@ -34,8 +34,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.mixed_rows(docs).select(*docs.columns)
+    """Documents as often as the mix takes them, the last one of a quota whole too."""
+    return mixing.mixed_rows(docs, whole_documents=True).select(*docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

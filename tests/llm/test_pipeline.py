@@ -37,3 +37,15 @@ def test_stages(spark, tmp_path):
         else:
             enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
             assert sorted((r.doc_id, r.ids) for r in after) == sorted((r.doc_id, enc.encode_ordinary(r.text)) for r in before)
+
+
+def test_mix_keeps_documents_whole(spark):
+    import corpus_pipeline
+    from tidelog.llm import mixing
+
+    docs = spark.createDataFrame([(i, f"a{i}  b\n" + " ".join(f"w{k}" for k in range(40 + 300 * (i % 7))), "en", "abc"[i % 5 // 2]) for i in range(90)], "doc_id long, text string, lang string, source string")
+    row = {r.doc_id: r for r in docs.collect()}
+    plan = mixing.plan(docs).collect()
+    assert any(r.taken % r.size for r in plan)
+    want = sorted(row[r.doc_id] for r in plan for _ in range(-(-r.taken // r.size)))
+    assert sorted(corpus_pipeline.mix(spark, docs, SF).collect()) == want

@@ -97,10 +97,10 @@ def plan(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: st
     return rows.select("doc_id", "size", "source_size", "target", (F.col("_rounds") * F.col("size") + F.col("_upto")).cast("bigint").alias("taken"), "_rounds", "_upto", *(["_row"] if carry else []))
 
 
-def mixed_rows(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """The mix itself: a row of df for each time it is taken; at the end of a quota a document gives its first words only."""
+def mixed_rows(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", *, whole_documents: bool = False) -> DataFrame:
+    """The mix itself: a row of df for each time it is taken. At the end of a quota a document gives its first words only, or, with whole_documents, all of them."""
     rows = plan(df, id_col, source, text, carry=True).filter("size > 0")
-    times = F.concat(F.array_repeat(F.col("size"), F.col("_rounds").cast("int")), F.when(F.col("_upto") > 0, F.array("_upto")).otherwise(F.array().cast("array<bigint>")))
+    times = F.concat(F.array_repeat(F.col("size"), F.col("_rounds").cast("int")), F.when(F.col("_upto") > 0, F.array("size" if whole_documents else "_upto")).otherwise(F.array().cast("array<bigint>")))
     rows = rows.select("_row", "size", F.explode(times).alias("_words"))
     whole = F.col(f"_row.`{text}`")
     cut = F.array_join(F.slice(F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int")), " ")
