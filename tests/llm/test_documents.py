@@ -186,6 +186,15 @@ def test_ngram_join(spark, awkward, nothing):
     assert kept.columns == awkward.columns and 2 not in {r.doc_id for r in kept.select("doc_id").collect()}
 
 
+def test_near_copies_of_repeated_and_null_ids(spark):
+    long = lambda w, *more: " ".join([*(f"{w}{i}" for i in range(80)), *more])
+    rows = [(1, long("a")), (5, long("a", "x")), (5, long("clean")), (7, long("b")), (7, long("b", "y")), (None, long("c")), (None, long("c", "z")), (None, long("a", "q")), (None, None), (None, "")]
+    got = ngram_join.keep_rows(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    texts = [(r.doc_id, r.text) for r in got]
+    assert len(texts) == 6 and {(1, long("a")), (5, long("clean")), (None, None), (None, "")} <= set(texts)
+    assert sum(i == 7 for i, _ in texts) == 1 and sum(i is None and bool(x) for i, x in texts) == 1
+
+
 def test_ngram_blocks(spark, monkeypatch):
     """A group cut into many blocks gives the same links."""
     base = [f"w{i}" for i in range(60)]

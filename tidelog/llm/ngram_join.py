@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.llm.common import bound_batches, materialise, text_slices
 from tidelog.llm.components import components
@@ -92,8 +93,8 @@ def signatures(h: np.ndarray, per: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """rid, id, text, node (null without shingles), n_shingles and sig of each row, written to the shared folder."""
+def sketch(df: DataFrame, id_col: str, text: str, carry: bool = False) -> DataFrame:
+    """rid, id, text, node (null without shingles), n_shingles and sig of each row, and _row (the other columns) if carry, written to the shared folder."""
 
     def run(batches):
         for part in text_slices(batches, 0, SLICE_BYTES):
@@ -104,11 +105,11 @@ def sketch(df: DataFrame, id_col: str, text: str) -> DataFrame:
             for n, e in zip(per.tolist(), ends, strict=True):
                 nodes.append(hashlib.blake2b(h[e - n : e].tobytes(), digest_size=16).digest() if n else None)
                 sigs.append(next(sig).tobytes() if n else None)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.binary()), pa.array(per, pa.int64()), pa.array(sigs, pa.binary())], names=["text", "id", "rid", "node", "n_shingles", "sig"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.binary()), pa.array(per, pa.int64()), pa.array(sigs, pa.binary()), *part.columns[3:]], names=["text", "id", "rid", "node", "n_shingles", "sig", *part.schema.names[3:]])
 
     bound_batches(df.sparkSession)
-    rows = df.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{id_col}`").cast("long").alias("id"), F.monotonically_increasing_id().alias("rid"))
-    return materialise(rows.mapInArrow(run, "text string, id long, rid long, node binary, n_shingles long, sig binary"), "ngram-sketch")
+    rows = df.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{id_col}`").cast("long").alias("id"), F.monotonically_increasing_id().alias("rid"), *([F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text]).alias("_row")] if carry else []))
+    return materialise(rows.mapInArrow(run, T.StructType([*T.StructType.fromDDL("text string, id long, rid long, node binary, n_shingles long, sig binary").fields, *rows.schema.fields[3:]])), "ngram-sketch")
 
 
 def _lcp(tree: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -240,14 +241,15 @@ def verify(members: DataFrame, similarity: float) -> DataFrame:
     return placed.select("comp", "i", "j", "side", "node", "copies", "text").mapInArrow(run, "node binary, links long, root binary")
 
 
-def join(df: DataFrame, id_col: str = "doc_id", text: str = "text", *, similarity: float = 0.8, target: float = 0.999) -> DataFrame:
-    """doc_id, class_id, n_links, n_copies (rows with the same shingles) and n_shingles of each row."""
-    rows = sketch(df, id_col, text)
-    nodes = materialise(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min("rid").alias("rid"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "ngram-nodes")
+def classes_of(df: DataFrame, id_col: str, text: str, similarity: float, target: float, carry: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The sketch, and of each node (_n) class_id, n_links, copies, and if carry the rid of its class's first row: of smallest id, null last."""
+    rows = sketch(df, id_col, text, carry)
+    head = [F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("head")] if carry else []
+    nodes = materialise(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min("rid").alias("rid"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), *head), "ngram-nodes")
     edges = neighbours(nodes)
     depth = depth_for(edges, similarity, target)
     comps = components(edges.filter(F.col("lcp") >= depth)).withColumnRenamed("node", "_n")
-    members = materialise(nodes.drop("sig").join(comps, F.col("node") == F.col("_n")).drop("_n"), "ngram-members")
+    members = materialise(nodes.drop("sig", "head").join(comps, F.col("node") == F.col("_n")).drop("_n"), "ngram-members")
     sizes = members.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")).withColumnRenamed("comp", "_c")
     members = members.join(sizes, F.col("comp") == F.col("_c")).drop("_c").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     whole = rows.select(F.col("rid").alias("_r"), "text").join(members.select("rid", "comp", "node", "copies", "block", "blocks"), F.col("_r") == F.col("rid"))
@@ -256,15 +258,23 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text", *, similarit
     found = materialise(verify(pairs, similarity), "ngram-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    info = nodes.select("node", "first_id", "copies").join(links.withColumnRenamed("node", "_l"), F.col("node") == F.col("_l"), "left")
+    info = nodes.select("node", "first_id", "copies", *(["head"] if carry else [])).join(links.withColumnRenamed("node", "_l"), F.col("node") == F.col("_l"), "left")
     info = info.join(classes.withColumnRenamed("node", "_k"), F.col("node") == F.col("_k"), "left").withColumn("comp", F.coalesce("comp", "node"))
-    names = info.groupBy("comp").agg(F.min("first_id").alias("class_id")).withColumnRenamed("comp", "_p")
-    info = info.join(names, F.col("comp") == F.col("_p")).select(F.col("node").alias("_n"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "copies")
-    out = rows.select("id", "node", "n_shingles").join(materialise(info, "ngram-info"), F.col("node") == F.col("_n"), "left")
+    names = info.groupBy("comp").agg(F.min("first_id").alias("class_id"), *([F.min("head").getField("rid").alias("keep_rid")] if carry else [])).withColumnRenamed("comp", "_p")
+    info = info.join(names, F.col("comp") == F.col("_p")).select(F.col("node").alias("_n"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "copies", *(["keep_rid"] if carry else []))
+    return rows, materialise(info, "ngram-info")
+
+
+def join(df: DataFrame, id_col: str = "doc_id", text: str = "text", *, similarity: float = 0.8, target: float = 0.999) -> DataFrame:
+    """doc_id, class_id, n_links, n_copies (rows with the same shingles) and n_shingles of each row."""
+    rows, info = classes_of(df, id_col, text, similarity, target)
+    out = rows.select("id", "node", "n_shingles").join(info, F.col("node") == F.col("_n"), "left")
     return out.select(F.col("id").alias("doc_id"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("copies", F.lit(1)).alias("n_copies"), "n_shingles")
 
 
-def keep_rows(df: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of df without those of a class that has a smaller id. Rows without id stay; rows that repeat an id share its fate."""
-    gone = join(df, id_col, text, **options).filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+def keep_rows(df: DataFrame, id_col: str = "doc_id", text: str = "text", *, similarity: float = 0.8, target: float = 0.999) -> DataFrame:
+    """One row of df of each class: that of the smallest id, null last, and the first of those. Rows without shingles stay."""
+    rows, info = classes_of(df, id_col, text, similarity, target, True)
+    gone = rows.select("rid", "node").join(info, F.col("node") == F.col("_n")).filter(F.col("rid") != F.col("keep_rid")).select(F.col("rid").alias("_gone"))
+    kept = rows.join(gone, F.col("rid") == F.col("_gone"), "left_anti")
+    return kept.select(*[F.col("text").cast(df.schema[c].dataType).alias(c) if c == text else F.col(f"_row.`{c}`") for c in df.columns])
