@@ -227,3 +227,21 @@ def test_forward_sums_all_segmentations():
 
     for w in ("a", "ab", "abab", "bca", "ba"):
         assert np.isclose(np.exp(langid.Lattice(Trie(pieces), [w], len(pieces)).log_prob(p)[0, 0]), total(MARK + w))
+
+
+def test_near_copies_in_one_large_group(spark):
+    """5,000 near copies in several blocks: one class, all links, one row kept; extra columns of any name pass through."""
+    base = [f"w{i}" for i in range(300)]
+    rows = [(k, " ".join([*base[: k % 290], f"x{k}", *base[k % 290 + 1 :]]), "a", k) for k in range(5000)] + [(9000, "some other text that has no copy here", "b", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone string, rid long").repartition(8)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.join(df).collect()}
+    assert got == {k: (0, 4999) for k in range(5000)} | {9000: (9000, 0)}
+    assert sorted(r.doc_id for r in ngram_join.keep_rows(df).collect()) == [0, 9000]
+
+
+def test_components_of_hubs_and_chains(spark):
+    from tidelog.llm.components import components
+
+    edges = [(0, k) for k in range(1, 3000)] + [(k, k + 1) for k in range(10_000, 10_300)] + [(20_000, 20_000)]
+    got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(3000), 0) | dict.fromkeys(range(10_000, 10_301), 10_000)

@@ -37,12 +37,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder as Parquet and read back: later plans neither recompute it nor lose it with an executor."""
+def materialised(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df written to the shared folder as Parquet and read back, and its path: later plans neither recompute it nor lose it with an executor."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    return materialised(df, name)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Removes tables of the shared folder that no later plan reads."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 #: Arrow batches between Spark and Python hold this much at most: whole texts make batches by row count far too large.

@@ -1,30 +1,46 @@
-"""Connected components of an edge table by alternating large and small stars."""
+"""Connected components of an edge table by alternating large and small stars.
+
+A star joins each node's edges with the node's least neighbour. A node that very many edges touch is
+not one key there: its edges are salted by their other end, the minimum is taken by (node, salt), then
+by node, and handed back by (node, salt). Only salts that occur are rows, so salting costs nothing
+for nodes of few edges. Each round is written to the shared folder and the round before it removed.
+
+The rounds end when a round leaves the edges as they are; their number grows with the square of the
+logarithm of the nodes at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import materialise
+from tidelog.llm.common import discard, materialised
+
+EDGES_A_SALT = 1 << 16  #: salts of a node grow with the edges, so that about this many of a hub's edges meet in a task
+LEAST_SALTS = 64
 
 
-def _star(e: DataFrame, large: bool) -> DataFrame:
+def _star(e: DataFrame, large: bool, salts: int) -> DataFrame:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("u", "m").alias("m"))
-    joined = both.join(least, F.col("u") == F.col("_u"))
-    moved = joined.filter("v > u" if large else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    out = moved if large else moved.unionByName(least.select(F.col("_u").alias("u"), F.col("m").alias("v")))
+    both = both.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int"))
+    part = both.groupBy("u", "s").agg(F.min("v").alias("m"))
+    least = part.groupBy("u").agg(F.min("m").alias("m")).select(F.col("u").alias("_u"), F.least("u", "m").alias("_m"))
+    known = part.join(least, F.col("u") == F.col("_u")).select("_u", F.col("s").alias("_s"), "_m")
+    joined = both.join(known, (F.col("u") == F.col("_u")) & (F.col("s") == F.col("_s")))
+    moved = joined.filter("v > u" if large else "v <> _m").select(F.col("v").alias("u"), F.col("_m").alias("v"))
+    out = moved if large else moved.unionByName(least.select(F.col("_u").alias("u"), F.col("_m").alias("v")))
     return out.filter("u <> v").distinct()
 
 
-def components(edges: DataFrame, most: int = 40) -> DataFrame:
-    """node, comp (the least node of the component) for all nodes of edges (a, b). Each round is written to the shared folder."""
+def components(edges: DataFrame) -> DataFrame:
+    """node, comp (the least node of the component) for all nodes of edges (a, b)."""
+    spark = edges.sparkSession
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    e, seen = materialise(e, "edges"), None
-    for _ in range(most):
-        e = materialise(_star(_star(e, True), False), "edges")
+    (e, path), seen = materialised(e, "edges"), None
+    while True:
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-        seen = now
-    raise RuntimeError("the components did not settle")
+        seen, old, salts = now, path, max(LEAST_SALTS, now[0] // EDGES_A_SALT)
+        e, path = materialised(_star(_star(e, True, salts), False, salts), "edges")
+        discard(spark, old)

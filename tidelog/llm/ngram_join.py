@@ -9,7 +9,7 @@ pair at the threshold, and the share of the clearly similar neighbour pairs (fou
 the least depth) that the longer prefix also finds.
 
 Candidates are the components of nodes that share such prefixes. Each component is verified
-exactly: all its pairs are counted by their common shingles. A component of many nodes is cut into
+exactly: all its pairs are counted by their common shingles. Only texts of candidates are exchanged. A component of many nodes is cut into
 blocks, and each pair of blocks is a task of bounded size; links are counted there and never
 listed, only spanning edges of the links found leave a task. So no pair list grows with the square
 of a group.
@@ -19,7 +19,8 @@ smallest id) and its number of links, copies included.
 
 Defined cases: a null, empty or white-space text has no shingle, is a class of its own and has no
 links; rows that repeat a text are linked to each other; a null id keeps a null class unless its
-class has another id; an empty table gives an empty table; other columns are not read.
+class has another id; an empty table gives an empty table; other columns, whatever their names, are
+not read (`keep_rows` passes them on); a text of any length is read whole, one at a time where it is long.
 """
 
 from __future__ import annotations
@@ -32,13 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import bound_batches, materialise, text_slices
+from tidelog.llm.common import bound_batches, discard, materialise, materialised, text_slices
 from tidelog.llm.components import components
 from tidelog.llm.words import SLICE_BYTES, distinct_words
 
 N = 5
 TREES, DEPTH, LEAST_DEPTH = 24, 8, 5
 BLOCK_NODES, BLOCK_SHINGLES = 1024, 1 << 19
+BITMAP_BITS = 1 << 15  #: of one row of Spark's bitmap functions
+FILTER_BITS = 2048 * BITMAP_BITS
 
 _rng = np.random.default_rng(20240117)
 _A = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -241,28 +244,47 @@ def verify(members: DataFrame, similarity: float) -> DataFrame:
     return placed.select("comp", "i", "j", "side", "node", "copies", "text").mapInArrow(run, "node binary, links long, root binary")
 
 
+def of_members(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows whose rid is in members, and a few others: those that a filter of FILTER_BITS bits lets pass.
+
+    The filter is a table of bitmaps of a fixed size at most (8 MB), so it is broadcast whatever the size of the corpus; it only saves
+    the exchange of texts that have no candidate, and lets more of them pass when it is full.
+    """
+    bit = F.pmod(F.xxhash64("rid"), F.lit(FILTER_BITS))
+    of_bit = (bit / BITMAP_BITS).cast("int"), (bit % BITMAP_BITS).cast("bigint")
+    bits = materialise(members.select(of_bit[0].alias("_bucket"), of_bit[1].alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_map")), "ngram-filter")
+    tested = rows.withColumns({"_b": of_bit[0], "_at": of_bit[1]}).join(F.broadcast(bits), F.col("_b") == F.col("_bucket"))
+    byte = F.conv(F.hex(F.expr("substring(_map, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return tested.filter(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def classes_of(df: DataFrame, id_col: str, text: str, similarity: float, target: float, carry: bool = False) -> tuple[DataFrame, DataFrame]:
     """The sketch, and of each node (_n) class_id, n_links, copies, and if carry the rid of its class's first row: of smallest id, null last."""
+    spark = df.sparkSession
     rows = sketch(df, id_col, text, carry)
     head = [F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("head")] if carry else []
-    nodes = materialise(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min("rid").alias("rid"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), *head), "ngram-nodes")
+    nodes, at_nodes = materialised(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min("rid").alias("rid"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), *head), "ngram-nodes")
     edges = neighbours(nodes)
     depth = depth_for(edges, similarity, target)
     comps = components(edges.filter(F.col("lcp") >= depth)).withColumnRenamed("node", "_n")
-    members = materialise(nodes.drop("sig", "head").join(comps, F.col("node") == F.col("_n")).drop("_n"), "ngram-members")
-    sizes = members.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")).withColumnRenamed("comp", "_c")
-    members = members.join(sizes, F.col("comp") == F.col("_c")).drop("_c").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    whole = rows.select(F.col("rid").alias("_r"), "text").join(members.select("rid", "comp", "node", "copies", "block", "blocks"), F.col("_r") == F.col("rid"))
+    members, at_members = materialised(nodes.drop("sig", "head").join(comps, F.col("node") == F.col("_n")).drop("_n"), "ngram-members")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = members.groupBy("comp").agg(blocks.alias("blocks")).withColumnRenamed("comp", "_c")
+    placed = members.join(sizes, F.col("comp") == F.col("_c")).drop("_c").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    texts = of_members(rows.select("rid", "text"), members).withColumnRenamed("rid", "_r")
+    whole = texts.join(placed.select("rid", "comp", "node", "copies", "block", "blocks").hint("merge"), F.col("_r") == F.col("rid"))  # the same plan at any size
     pairs = whole.select("comp", "node", "copies", "text", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pairs = pairs.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "copies", "text")
-    found = materialise(verify(pairs, similarity), "ngram-links")
+    found, at_found = materialised(verify(pairs, similarity), "ngram-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     info = nodes.select("node", "first_id", "copies", *(["head"] if carry else [])).join(links.withColumnRenamed("node", "_l"), F.col("node") == F.col("_l"), "left")
     info = info.join(classes.withColumnRenamed("node", "_k"), F.col("node") == F.col("_k"), "left").withColumn("comp", F.coalesce("comp", "node"))
     names = info.groupBy("comp").agg(F.min("first_id").alias("class_id"), *([F.min("head").getField("rid").alias("keep_rid")] if carry else [])).withColumnRenamed("comp", "_p")
     info = info.join(names, F.col("comp") == F.col("_p")).select(F.col("node").alias("_n"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "copies", *(["keep_rid"] if carry else []))
-    return rows, materialise(info, "ngram-info")
+    info = materialise(info, "ngram-info")
+    discard(spark, at_nodes, at_members, at_found)
+    return rows, info
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text: str = "text", *, similarity: float = 0.8, target: float = 0.999) -> DataFrame:
