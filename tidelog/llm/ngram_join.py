@@ -8,7 +8,8 @@ Prefixes are shortened from DEPTH on until the recall reaches the target: both t
 pair at the threshold, and the share of the clearly similar neighbour pairs (found in many trees at
 the least depth) that the longer prefix also finds.
 
-Candidates are the components of nodes that share such prefixes. Each component is verified
+Candidates are the components of nodes that share such prefixes (each node of a run of equal prefixes
+is tied to the run's first). Each component is verified
 exactly: all its pairs are counted by their common shingles. Only texts of candidates are exchanged. A component of many nodes is cut into
 blocks, and each pair of blocks is a task of bounded size; links are counted there and never
 listed, only spanning edges of the links found leave a task. So no pair list grows with the square
@@ -121,15 +122,17 @@ def _lcp(tree: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def neighbours(nodes: DataFrame) -> DataFrame:
-    """a, b, lcp: neighbours in the tries that share LEAST_DEPTH values or more, with the longest prefix and the number of trees."""
+    """prev, node, lcp: neighbours in the tries that share LEAST_DEPTH values or more; and h5, h6, ...: the first node of the run that shares 5, 6, ... values with node."""
     width = 2 * DEPTH
     rows = nodes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = rows.select("tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("key"), "node")
     rows = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
+    depths = range(LEAST_DEPTH, DEPTH + 1)
+    fields = [("prev", pa.binary()), ("node", pa.binary()), ("lcp", pa.int32()), ("tree", pa.int32()), ("key", pa.binary()), *((f"h{d}", pa.binary()) for d in depths)]
 
     def run(batches):
         last, first = None, None
-        schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("lcp", pa.int32()), ("tree", pa.int32()), ("key", pa.binary())])
+        schema = pa.schema(fields)
         for b in batches:
             tree, key, node = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
             if not tree:
@@ -137,24 +140,29 @@ def neighbours(nodes: DataFrame) -> DataFrame:
             first = first or (tree[0], key[0], node[0])
             if last:
                 tree, key, node = [last[0], *tree], [last[1], *key], [last[2], *node]
-            last = (tree[-1], key[-1], node[-1])
             lcp = _lcp(np.array(tree), np.frombuffer(b"".join(key), np.uint16).reshape(-1, DEPTH))
-            hit = np.flatnonzero(lcp >= LEAST_DEPTH).tolist()
-            pairs = [sorted((node[i], node[i + 1])) for i in hit]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary()), pa.array(lcp[hit], pa.int32()), pa.nulls(len(pairs), pa.int32()), pa.nulls(len(pairs), pa.binary())], schema=schema)
+            hit = np.flatnonzero(lcp >= LEAST_DEPTH) + 1
+            heads, ends = [], []
+            for k, d in enumerate(depths):
+                at = np.maximum.accumulate(np.where(np.r_[True, lcp < d], np.arange(len(node)), 0))
+                own = lambda i, k=k: last[3][k] if last and not i else node[i]  # noqa: B023, E731
+                heads.append([own(i) for i in at[hit].tolist()])
+                ends.append(own(int(at[-1])))
+            last = (tree[-1], key[-1], node[-1], ends)
+            hits = hit.tolist()
+            cols = [pa.array([node[i - 1] for i in hits], pa.binary()), pa.array([node[i] for i in hits], pa.binary()), pa.array(lcp[hit - 1], pa.int32()), pa.nulls(len(hits), pa.int32()), pa.nulls(len(hits), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*cols, *(pa.array(h, pa.binary()) for h in heads)], schema=schema)
         if last:  # the rows at both ends of the partition meet their neighbours on the driver
-            yield pa.RecordBatch.from_pylist([{"a": r[2], "b": None, "lcp": None, "tree": r[0], "key": r[1]} for r in (first, last)], schema=schema)
+            yield pa.RecordBatch.from_pylist([{"node": r[2], "tree": r[0], "key": r[1]} for r in (first, last)], schema=schema)
 
-    found = materialise(rows.mapInArrow(run, "a binary, b binary, lcp int, tree int, key binary"), "ngram-neighbours")
-    ends = sorted({(r["tree"], bytes(r["key"]), bytes(r["a"])) for r in found.filter("b IS NULL").select("tree", "key", "a").collect()})  # two rows for each partition
+    found = materialise(rows.mapInArrow(run, T.StructType([T.StructField(n, {"lcp": T.IntegerType(), "tree": T.IntegerType()}.get(n, T.BinaryType())) for n, _ in fields])), "ngram-neighbours")
+    ends = sorted({(r["tree"], bytes(r["key"]), bytes(r["node"])) for r in found.filter("prev IS NULL").select("tree", "key", "node").collect()})  # two rows for each partition
     extra = []
     if len(ends) > 1:
         lcp = _lcp(np.array([e[0] for e in ends]), np.frombuffer(b"".join(e[1] for e in ends), np.uint16).reshape(-1, DEPTH))
-        extra = [(*map(bytearray, sorted((x[2], y[2]))), int(n)) for x, y, n in zip(ends, ends[1:], lcp, strict=False) if n >= LEAST_DEPTH]
-    edges = found.filter("b IS NOT NULL").select("a", "b", "lcp")
-    if extra:
-        edges = edges.unionByName(nodes.sparkSession.createDataFrame(extra, "a binary, b binary, lcp int"))
-    return materialise(edges.groupBy("a", "b").agg(F.max("lcp").alias("lcp"), F.count("*").alias("trees")), "ngram-edges")
+        extra = [(*map(bytearray, (x[2], y[2])), int(n), *[bytearray(x[2])] * len(depths)) for x, y, n in zip(ends, ends[1:], lcp, strict=False) if n >= LEAST_DEPTH]
+    edges = found.filter("prev IS NOT NULL").drop("tree", "key")
+    return edges.unionByName(nodes.sparkSession.createDataFrame(extra, edges.schema)) if extra else edges
 
 
 def recall_at(similarity: float, depth: int) -> float:
@@ -163,7 +171,8 @@ def recall_at(similarity: float, depth: int) -> float:
 
 def depth_for(edges: DataFrame, similarity: float, target: float) -> int:
     """The longest prefix that reaches the target recall, shortened step by step."""
-    clear = edges.filter(F.col("trees") >= int(TREES * similarity**LEAST_DEPTH)).groupBy("lcp").count().collect()  # a row for each length
+    pairs = edges.groupBy(F.least("prev", "node").alias("a"), F.greatest("prev", "node").alias("b")).agg(F.max("lcp").alias("lcp"), F.count("*").alias("trees"))
+    clear = pairs.filter(F.col("trees") >= int(TREES * similarity**LEAST_DEPTH)).groupBy("lcp").count().collect()  # a row for each length
     per = {r["lcp"]: r["count"] for r in clear}
     depth = DEPTH
     while depth > LEAST_DEPTH:
@@ -204,20 +213,20 @@ def verify(members: DataFrame, similarity: float) -> DataFrame:
         if left is not right:
             np.add.at(links, right, hit.T @ copies[left])
         root = np.arange(len(side))
-
-        def find(x):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for x in range(len(left)):
-            ys = right[np.flatnonzero(hit[x])]
-            for y in ys[root[ys] != root[left[x]]].tolist():
-                a, b = find(left[x]), find(y)
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-        return links, [nodes[find(x)] for x in range(len(side))]
+        new_left, new_right = np.ones(len(left), bool), np.ones(len(right), bool)
+        for x in range(len(left)):  # breadth first: each row and each column of hit is read once
+            if not new_left[x]:
+                continue
+            front, new_left[x] = np.array([x]), False
+            while len(front):
+                out = np.flatnonzero(hit[front].any(axis=0) & new_right)
+                new_right[out] = False
+                root[right[out]] = left[x]
+                front = np.flatnonzero(hit[:, out].any(axis=1) & new_left)
+                new_left[front] = False
+                root[left[front]] = left[x]
+            root[left[x]] = left[x]
+        return links, [nodes[x] for x in root.tolist()]
 
     def run(batches):
         key, held = None, []
@@ -266,7 +275,7 @@ def classes_of(df: DataFrame, id_col: str, text: str, similarity: float, target:
     nodes, at_nodes = materialised(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first_id"), F.min("rid").alias("rid"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), *head), "ngram-nodes")
     edges = neighbours(nodes)
     depth = depth_for(edges, similarity, target)
-    comps = components(edges.filter(F.col("lcp") >= depth)).withColumnRenamed("node", "_n")
+    comps = components(edges.filter(F.col("lcp") >= depth).select(F.col("node").alias("a"), F.col(f"h{depth}").alias("b"))).withColumnRenamed("node", "_n")
     members, at_members = materialised(nodes.drop("sig", "head").join(comps, F.col("node") == F.col("_n")).drop("_n"), "ngram-members")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     sizes = members.groupBy("comp").agg(blocks.alias("blocks")).withColumnRenamed("comp", "_c")
