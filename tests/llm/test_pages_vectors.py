@@ -51,6 +51,23 @@ def test_warc_cases(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_rows_without_id(spark):
+    big, other = "<p>" + "y" * 300, "<p>\r\n\r\n\r\n" + "z" * 300 + "\r\n\r\n"
+    rows = [(5, "u", big), (None, "u", big), (None, "v", big), (None, "a", other), (None, "b", other), (None, "a", other), (4, "w", "x" * 99), (None, "w", "x" * 99)]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in got if r.payload_bytes == len(big)) == [(0, "revisit", 5), (0, "revisit", 5), (5, "response", 0)]
+    assert sorted((r.record_type, r.refers_to) for r in got if r.payload_bytes == len(other)) == [("response", None), ("revisit", None), ("revisit", None)]
+    assert [r.record_type for r in got if r.payload_bytes == 99] == ["response"] * 2
+
+
+def test_warc_of_long_pages(spark, tmp_path):
+    pages = {1: "é\r\n\r\n" * 1_500_000, 2: "", 3: "\r\n\r\n", 4: "WARC/1.1\r\n\r\nx"}
+    path = str(tmp_path / "w")
+    warc.write(spark.createDataFrame(list(pages.items()), "page_id long, html string").selectExpr("*", "cast(null as string) url").coalesce(1), path)
+    got = warc.assemble(warc.read(spark, path)).collect()
+    assert {int(r.metadata.fields["page-id"]): bytes(r.response.payload).decode() for r in got} == pages
+
+
 def test_warc_records(spark, tmp_path):
     df = spark.read.parquet(f"{SF}/pages.parquet").limit(20)
     path = str(tmp_path / "w")
