@@ -1,11 +1,12 @@
 """Exact dedup by a content sort (native SQL functions only).
 
 Texts are normalised (each run of space and U+0009 to U+000D becomes one space) and
-range-partitioned by sampled splitters over (first bytes, SHA-256, salt of the id); the external
-sort of each partition then places equal texts next to each other and a window compares
-neighbouring rows by the whole normalised text. The salt cuts a text with many copies into up to
-SALTS runs that may lie in several partitions, so no task gets a whole hot group; the heads of the
-runs, at most SALTS a text, are joined by digest and give the smallest id and the group's size.
+range-partitioned by sampled splitters over (first characters, SHA-256, salt of the row), so that
+splitters are short whatever the texts; the external sort of each partition is by the whole normalised
+text, which places equal texts next to each other, and a window compares neighbouring rows by it. The
+salt cuts a text with many copies into runs that may lie in several partitions, so no task gets a
+whole hot group; the heads of the runs, at most SALTS a text, are united by digest and give the
+smallest id and the group's size.
 
 Defined cases: a null text equals an empty one; null ids sort last and stay only where a group
 has no other; of rows that repeat both id and text exactly one stays; an empty table gives an
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import materialise
 
-SALTS = 32
+SALTS = 4096  #: only those that occur make runs
 PREFIX = 24
 
 
@@ -33,13 +34,13 @@ def _runs(df: DataFrame, id_col: str, text: str, carry: bool) -> DataFrame:
     ident = F.col(f"`{id_col}`")
     norm = normalised(F.col(f"`{text}`"))
     cols = [ident.alias("_id"), *([F.struct("*").alias("_row")] if carry else []), norm.alias("_norm")]
-    keyed = df.select(*cols).withColumns({"_sha": F.sha2(F.col("_norm").cast("binary"), 256), "_pre": F.substring("_norm", 1, PREFIX), "_salt": F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")})
+    keyed = df.select(*cols).withColumns({"_sha": F.sha2(F.col("_norm").cast("binary"), 256), "_pre": F.substring("_norm", 1, PREFIX), "_salt": F.pmod(F.xxhash64("_id", F.spark_partition_id()), F.lit(SALTS)).cast("int")})
     if carry:  # the text is in the row already; it is normalised again behind the exchange
         keyed = keyed.drop("_norm")
     placed = keyed.repartitionByRange("_pre", "_sha", "_salt")
     if carry:
         placed = placed.withColumn("_norm", normalised(F.col(f"_row.`{text}`")))
-    same = Window.partitionBy("_pre", "_sha", "_salt", "_norm")
+    same = Window.partitionBy("_pre", "_norm", "_sha", "_salt")
     found = placed.withColumns({"_rn": F.row_number().over(same.orderBy(F.col("_id").asc_nulls_last())), "_run_min": F.min("_id").over(same), "_run_size": F.count("*").over(same)})
     return materialise(found.drop("_norm", "_pre"), "dedup-runs")
 
