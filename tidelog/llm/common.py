@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        if not sc.master.startswith("local["):
+        if not re.match(r"local(\[|$)", sc.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file:///tmp/checkpoints/tidelog"
         spark.conf.set("spark.checkpoint.dir", at)

@@ -14,11 +14,15 @@ Running positions are two-level prefix sums over (source, bucket of the seeded h
 source is spread over many tasks.
 
 Defined cases: a null text has size 0 and nothing is taken; a null source is a source; rows that
-repeat an id follow each other in a fixed order; without any words all targets are 0.
+repeat an id follow each other in a fixed order; a row without id takes its place by its text;
+without any words all targets are 0; an empty table gives an empty table; texts of any length are
+counted whole; other columns, whatever their names, are passed on by `mixed_rows` only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,8 +81,8 @@ def plan(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: st
     if not carry:
         rows = materialise(rows, "mix-sizes")
     n = df.count()
-    buckets = max(256, min(n // 2000, 65536))
-    rows = rows.withColumn("_h", F.md5(F.concat_ws("|", F.lit(SEED), F.col("doc_id").cast("string")).cast("binary")))
+    buckets = max(256, math.isqrt(n))  # buckets of a source, and rows of a bucket, grow alike
+    rows = rows.withColumn("_h", F.md5(F.concat_ws("|", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.col("_tie").cast("string")))).cast("binary")))
     rows = rows.withColumn("_b", F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") * buckets / float(1 << 32)).cast("int"))
     sums = materialise(rows.groupBy("source", "_b").agg(F.sum("size").alias("_words")), "mix-sums")
     shares = quotas(targets(sums.groupBy("source").agg(F.sum("_words").alias("source_size"))))
