@@ -9,13 +9,17 @@ sidebars, notices, adverts, forms and reader comments in many mark-ups), by grad
 conditional likelihood with an L2 prior, and decoded by Viterbi. Each page is decoded on its own:
 nothing is shuffled.
 
-Text rules: scripts, styles, templates, comments, titles and form fields are no text; character
-references are decoded; white space in a block becomes one space; blocks of the article are joined
-in page order by one line break; nothing else is cut.
-
-Defined cases: a null or empty page, or one without article blocks, gives an empty text; mark-up
-that is cut off or never closed is read as far as it goes; pages of any length are read whole;
-repeated rows give repeated rows; other columns are passed on.
+Text rules: scripts, styles, templates, comments, titles, drawings (svg), frames and the controls of
+forms (button, select, textarea) are no text; what noscript, object and canvas hold is read like other
+mark-up; character references are decoded; white space in a block becomes one space; blocks of the
+article are joined in page order by one line break; nothing else is cut.
+
+Defined cases: a null or empty page, or one without article blocks, gives an empty text; a self-closing
+element holds nothing; an element of those that are no text drops its start tag only where it is never
+closed, but a script or style that is never closed goes to the page's end, as does a comment; other
+mark-up that is cut off or never closed is read as far as it goes; pages of any length are read whole;
+repeated rows give repeated rows; an empty table gives an empty table; other columns are passed on,
+result columns get leading underscores where names clash.
 """
 
 from __future__ import annotations
@@ -33,7 +37,10 @@ from pyspark.sql import types as T
 
 from tidelog.llm.common import bound_batches, free_name, text_slices
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe|select|button|canvas|object)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z""", re.S | re.I)
+#: A comment, a tag (closing mark, name, attributes; a quote counts after an equals sign only), a declaration, or a tag that the page's end cuts off.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z""", re.S)
+#: Elements whose content is no text of an article: scripts, styles, titles, drawings, frames and the controls of forms.
+DROPPED = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in "script style template title textarea select button svg iframe".split()}
 ATTRS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: Elements that begin and end blocks. Others are inline.
 BLOCKS = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption header footer nav aside form fieldset legend label address details summary dialog center hr menu".split())
@@ -74,13 +81,24 @@ def blocks(page: str) -> list[tuple[str, float, tuple[str, ...]]]:
             parts.append(piece)
             linked += len(piece) if in_link else 0
 
-    for m in TOKEN.finditer(page):
+    open_ended: set[str] = set()  # dropped elements that no later tag closes
+    while m := TOKEN.search(page, last):
         add(page[last : m.start()])
         last = m.end()
-        tag = (m.group(3) or "").lower()
+        tag = (m.group(2) or "").lower()
         if not tag:
             continue
-        closing = m.group(2)
+        closing, attributes = m.group(1), m.group(3)
+        if tag in DROPPED:
+            if not closing and not attributes.rstrip().endswith("/") and tag not in open_ended:
+                if end := DROPPED[tag].search(page, last):
+                    last = end.end()
+                else:
+                    open_ended.add(tag)
+                    last = len(page) if tag in ("script", "style") else last
+            if head and tag not in HEADS:
+                head = False
+            continue
         if tag == "head":
             head = not closing
         elif not closing and tag not in HEADS:
@@ -97,7 +115,7 @@ def blocks(page: str) -> list[tuple[str, float, tuple[str, ...]]]:
                 while stack.pop()[0] != tag:
                     pass
             in_link = 0
-        elif tag != "hr" and not m.group(4).rstrip().endswith("/"):
+        elif tag != "hr" and not attributes.rstrip().endswith("/"):
             shut = CLOSES.get(tag, {"p"} if tag not in ("html", "body") else ())
             k = len(stack)
             while k and stack[k - 1][0] not in STOPS:
@@ -105,8 +123,8 @@ def blocks(page: str) -> list[tuple[str, float, tuple[str, ...]]]:
                 if stack[k][0] in shut:
                     del stack[k:]
                     k = len(stack)
-            words = [w for a in ATTRS.findall(m.group(4)) for w in WORDS.findall("".join(a).lower())] if m.group(4) else []
-            stack.append((tag, (f"<{tag}>", *(f".{w}" for w in words[:12]))))
+            words = [w for a in ATTRS.findall(attributes) for w in WORDS.findall("".join(a).lower())] if attributes else []
+            stack.append((tag, (f"<{tag}>", *(f".{w}" for w in words))))
     add(page[last:])
     flush()
     return out
