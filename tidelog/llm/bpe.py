@@ -11,7 +11,7 @@ A bounded list of frequent words (`cached` at most, from `sample_rows` documents
 folded first, by the same fold, and handed to every task; it only saves work.
 
 Defined cases: a null or empty text has no ids (hash of no bytes); a text of any length is one
-block at least; repeated rows give repeated rows; an empty table gives an empty table; all other
+block at least, and one word of any length is cut where no token reaches across (`Cutter`); repeated rows give repeated rows; an empty table gives an empty table; all other
 columns of the input are passed on, result columns get leading underscores where names clash.
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 from collections import defaultdict
 from functools import lru_cache
@@ -37,6 +38,8 @@ SHIFT = 17  #: ids are below 2**17
 RANK_SHIFT = 41  #: offsets in a word are below 2**24
 NONE = 1 << SHIFT
 MOST_WORDS = 200_000  #: words that a task remembers
+LONG = 64  #: characters: longer words are cut where no token reaches across
+MOST_FOLD = 256  #: bytes that are folded in one array, as the fold's work grows with the square
 
 
 @lru_cache(maxsize=4)
@@ -141,18 +144,81 @@ def splitter(pattern: str):
     return lambda text: full(text) if beyond(text) else plain(text)
 
 
-def _byte_lists(words: list[str], byte_ids: np.ndarray) -> pa.ListArray:
-    raw = [w.encode() for w in words]
+def _byte_lists(words: list[str | bytes | int], byte_ids: np.ndarray) -> pa.ListArray:
+    """The places of words (text), parts of words (bytes), and single tokens (ids)."""
+    raw = [w.encode() if isinstance(w, str) else w if isinstance(w, bytes) else b"." for w in words]
     offsets = np.zeros(len(raw) + 1, np.int32)
     np.cumsum([len(w) for w in raw], out=offsets[1:])
     flat = np.frombuffer(b"".join(raw), np.uint8)
     after = np.append(flat[1:], 0).astype(np.int64)
     after[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = 256
     lens = np.diff(offsets).astype(np.int64)
-    if lens.max(initial=0) >= 1 << (RANK_SHIFT - SHIFT):
-        raise ValueError("a word of 16 MiB or more")
     place = np.arange(len(flat)) - np.repeat(offsets[:-1].astype(np.int64), lens)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(byte_ids[flat, after] | place << SHIFT))
+    places = byte_ids[flat, after] | place << SHIFT
+    whole = [(i, w) for i, w in enumerate(words) if isinstance(w, int)]
+    if whole:
+        places[offsets[[i for i, _ in whole]]] = NONE << RANK_SHIFT | np.array([w for _, w in whole], np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(places))
+
+
+class Cutter:
+    """Cuts a long word where no token can reach across, which leaves its ids as they are.
+
+    A token of the word's encoding, at any time of the merging, is a token of the vocabulary that stands there in the word. So a place that
+    no occurrence of any token covers is never merged across, and the parts on both sides are encoded apart. A part that stays longer than
+    MOST_FOLD bytes (long runs of one sign and the like) is merged here by a heap of its pairs, and its ids are handed on one by one.
+    """
+
+    def __init__(self, pieces: list[bytes]):
+        import ahocorasick
+
+        self.ranks = {t: r for r, t in enumerate(pieces) if t}
+        self.found = ahocorasick.Automaton()
+        for t in self.ranks:
+            if len(t) > 1:
+                self.found.add_word(t.decode("latin-1"), len(t))
+        self.found.make_automaton()
+
+    def __call__(self, word: str) -> list[bytes | int]:
+        raw = word.encode()
+        turns = np.zeros(len(raw) + 1, np.int64)
+        spans = list(self.found.iter(raw.decode("latin-1")))
+        if spans:
+            last, length = np.array(spans).T
+            np.add.at(turns, last - length + 2, 1)
+            np.add.at(turns, last + 1, -1)
+        cuts = [0, *(np.flatnonzero(np.cumsum(turns[:-1])[1:] == 0) + 1).tolist(), len(raw)]
+        out: list[bytes | int] = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            out += [raw[a:b]] if b - a <= MOST_FOLD else self.merged(raw[a:b])
+        return out
+
+    def merged(self, raw: bytes) -> list[int]:
+        """Ids of raw: the least pair, leftmost first, merges until none does."""
+        n, get = len(raw), self.ranks.get
+        after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
+        none = len(self.ranks)
+        due = [get(raw[i : i + 2], none) for i in range(n - 1)] + [none]
+        heap = [(r, i) for i, r in enumerate(due) if r < none]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            if due[i] != r:
+                continue  # merged since, or another pair by now
+            j = after[i]
+            end[i], after[i], due[j] = end[j], after[j], none
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0:
+                    due[k] = get(raw[k : end[after[k]]], none) if after[k] < n else none
+                    if due[k] < none:
+                        heapq.heappush(heap, (due[k], k))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[raw[i : end[i]]])
+            i = after[i]
+        return out
 
 
 def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int, byte_ids: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -165,7 +231,8 @@ def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int
         for part in text_slices(batches, 0, BLOCK_BYTES):
             for text in part.column(0).to_pylist():
                 for w in find(text or ""):
-                    n[w] = n.get(w, 0) + 1
+                    if len(w) <= LONG:
+                        n[w] = n.get(w, 0) + 1
             if len(n) > 500_000:
                 yield pa.RecordBatch.from_pydict({"w": list(n), "n": list(n.values())}, schema=pa.schema([("w", pa.string()), ("n", pa.int64())]))
                 n = {}
@@ -213,9 +280,9 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
     give_back()  # the driver keeps the broadcast form only
 
     def split(batches):
-        find = splitter(pattern)
+        find, cut = splitter(pattern), None
         fixed = listed.value
-        known_words: defaultdict[str, int] = defaultdict()
+        known_words: defaultdict[str | bytes | int, int] = defaultdict()
 
         def forget():
             known_words.clear()
@@ -229,6 +296,11 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
             before, counts, refs = len(known_words), [], [np.zeros(0, np.int32)]
             for t in part.column(0).to_pylist():
                 ws = find(t) if t else ()
+                if ws and max(map(len, ws)) > LONG:
+                    if cut is None:
+                        _, _, table, ends = known.value
+                        cut = Cutter([table[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)])
+                    ws = [k for w in ws for k in (cut(w) if len(w) > LONG else (w,))]
                 counts.append(len(ws))
                 refs.append(np.fromiter(map(known_words.__getitem__, ws), np.int32, len(ws)))
             new = list(islice(known_words, before, None))
