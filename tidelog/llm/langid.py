@@ -9,8 +9,11 @@ maximisation (forward-backward) on word counts per language from a bounded sampl
 words. Prediction is a map over all texts: nothing is shuffled.
 
 Defined cases: `und` with score 0 for a null text or one without a letter; without labelled rows
-every text is `und`; words of over 64 letters are scored in runs of 64; ties go to the language
-first in code point order; texts of any length are scored whole; other columns are passed on.
+every text is `und`; words of any length are summed over all their segmentations (those of over
+LETTERS letters, which are rare, give no training counts); ties go to the language first in code point
+order; texts of any length are scored whole; repeated rows give repeated rows; an empty table gives
+an empty table; other columns are passed on, result columns get leading underscores where names clash.
+Of more than MOST_LANGS different labels the most frequent are learned.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from tidelog.llm.words import MARK, SLICE_BYTES, Trie, WordCache, code_points, d
 
 SCALE = 16.0  #: keeps forward values near 1: every character counts this much more
 UNKNOWN = 1e-7
-RUN = 64
+LETTERS = 40  #: longer words are summed by themselves, and are not learned from
+MOST_LANGS = 1000  #: the most frequent values of the language column are learned
 
 
 def letters(word: str) -> str:
@@ -34,6 +38,29 @@ def letters(word: str) -> str:
     return w if w.isalpha() else "".join(c for c in w if c.isalpha())
 
 
+def matches(trie: Trie, codes: np.ndarray, room: np.ndarray, starts: int, n_pieces: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, length and piece of all pieces that begin at the first `starts` places; room: code points from a place to its word's end."""
+    node, at = np.zeros(starts, np.int64), np.arange(starts)
+    found = []
+    step = 0
+    while len(at):
+        node = trie.child(node, codes[at + step])
+        hit = node >= 0
+        if step == 0:  # a character that is no piece is an arc of its own all the same
+            piece = np.where(hit, trie.ends[np.maximum(node, 0)], -1)
+            found.append((at, np.ones(len(at), np.int64), np.where(piece >= 0, piece, n_pieces)))
+            at, node = at[hit], node[hit]
+        else:
+            at, node = at[hit], node[hit]
+            end = trie.ends[node]
+            full = end >= 0
+            found.append((at[full], np.full(int(full.sum()), step + 1, np.int64), end[full]))
+        step += 1
+        more = room[at] > step
+        at, node = at[more], node[more]
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+
 class Lattice:
     """All pieces at all places of some words: arcs (word, begin, end, piece), by end and word."""
 
@@ -42,26 +69,7 @@ class Lattice:
         first = np.cumsum(lens) - lens
         place = np.arange(len(codes)) - np.repeat(first, lens)
         owner = np.repeat(np.arange(len(words)), lens)
-        room = np.repeat(lens, lens) - place
-        node, at = np.zeros(len(codes), np.int64), np.arange(len(codes))
-        found = []
-        step = 0
-        while len(at):
-            node = trie.child(node, codes[at + step])
-            hit = node >= 0
-            if step == 0:
-                piece = np.where(hit, trie.ends[np.maximum(node, 0)], -1)
-                found.append((at, np.ones(len(at), np.int64), np.where(piece >= 0, piece, n_pieces)))
-                at, node = at[hit], node[hit]
-            else:
-                at, node = at[hit], node[hit]
-                end = trie.ends[node]
-                full = end >= 0
-                found.append((at[full], np.full(int(full.sum()), step + 1, np.int64), end[full]))
-            step += 1
-            more = room[at] > step
-            at, node = at[more], node[more]
-        at, length, self.piece = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        at, length, self.piece = matches(trie, codes, np.repeat(lens, lens) - place, len(codes), n_pieces)
         order = np.lexsort((owner[at], place[at] + length))
         at, length, self.piece = at[order], length[order], self.piece[order]
         self.n, self.lens, self.width = len(words), lens, int(lens.max(initial=0)) + 1
@@ -107,6 +115,46 @@ class Lattice:
         return out
 
 
+def long_log_prob(trie: Trie, word: str, p: np.ndarray, n_pieces: int, longest: int, window: int = 4096) -> np.ndarray:
+    """Lattice.log_prob of one word of any length: the same sums, forward from window to window, values scaled to 1 again and again."""
+    codes, _ = code_points([MARK + word])
+    n, log = len(codes), np.zeros(p.shape[1])
+    a = np.zeros((window + longest + 1, p.shape[1]))
+    a[0] = 1.0
+    for start in range(0, n, window):
+        own = codes[start : start + window + longest]
+        here = min(window, n - start)
+        at, length, piece = matches(trie, own, np.minimum(len(own), n - start) - np.arange(len(own)), here, n_pieces)
+        order = np.argsort(at, kind="stable")
+        at, length, weight = at[order], length[order], p[piece[order]] * (SCALE ** length[order])[:, None]
+        cuts = np.searchsorted(at, np.arange(here + 1)).tolist()
+        for j in range(here):
+            if j % 16 == 0:
+                top = a[j : j + longest].max(axis=0)
+                a[j:] /= top
+                log += np.log(top)
+            s = slice(cuts[j], cuts[j + 1])
+            a[j + length[s]] += a[j] * weight[s]  # pieces that begin at one place end at different ones
+        if start + window < n:
+            a[: longest + 1], a[longest + 1 :] = a[window : window + longest + 1].copy(), 0
+        else:
+            log += np.log(a[here])
+    return log - n * np.log(SCALE)
+
+
+def word_log_probs(trie: Trie, words: list[str], p: np.ndarray, n_pieces: int, longest: int) -> np.ndarray:
+    """Log probability of each word in each language, words of any length."""
+    out = np.zeros((len(words), p.shape[1]))
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    short = [i for i in order if len(words[i]) <= LETTERS]
+    for i in range(0, len(short), 8192):
+        part = short[i : i + 8192]
+        out[part] = Lattice(trie, [words[k] for k in part], n_pieces).log_prob(p)
+    for i in order[len(short) :]:
+        out[i] = long_log_prob(trie, words[i], p, n_pieces, longest)
+    return out
+
+
 def fit(counts: dict[str, dict[str, int]], pieces: tuple[str, ...], turns: int = 3) -> tuple[list[str], np.ndarray]:
     """Languages and piece probabilities (the last row: a character of no piece), from word counts by language."""
     langs = sorted(counts)
@@ -129,7 +177,8 @@ def fit(counts: dict[str, dict[str, int]], pieces: tuple[str, ...], turns: int =
 def training_counts(df: DataFrame, id_col: str, text: str, lang: str, train: Column, sample_docs: int, top_words: int) -> dict[str, dict[str, int]]:
     """Word counts of the commonest words by language, from about sample_docs training texts of each. Bounded by languages x top_words."""
     marked = df.filter(train & F.col(f"`{lang}`").isNotNull())
-    per = {r[0]: r[1] for r in marked.groupBy(F.col(f"`{lang}`").cast("string").alias("l")).count().collect()}  # a row for each language
+    by_lang = marked.groupBy(F.col(f"`{lang}`").cast("string").alias("l")).count()
+    per = {r[0]: r[1] for r in by_lang.orderBy(F.desc("count"), "l").limit(MOST_LANGS).collect()}  # a row for each language
     if not per:
         return {}
     share = F.create_map(*[x for k, v in sorted(per.items()) for x in (F.lit(k), F.lit(int(1_000_000 * min(1.0, sample_docs / v)) + 1))])
@@ -144,9 +193,8 @@ def training_counts(df: DataFrame, id_col: str, text: str, lang: str, train: Col
                 words, refs, _ = distinct_words(part.column(0).filter(pa.array([x == k for x in lang_of])))
                 for w, n in zip(words, np.bincount(refs, minlength=len(words)).tolist(), strict=True):
                     w = letters(w)
-                    for i in range(0, len(w), RUN):
-                        key = (k, w[i : i + RUN])
-                        found[key] = found.get(key, 0) + n
+                    if 0 < len(w) <= LETTERS:
+                        found[k, w] = found.get((k, w), 0) + n
             yield pa.RecordBatch.from_pydict({"l": [k for k, _ in found], "w": [w for _, w in found], "n": list(found.values())}, schema=pa.schema([("l", pa.string()), ("w", pa.string()), ("n", pa.int64())]))
 
     totals = taken.mapInArrow(count, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n"))
@@ -167,19 +215,15 @@ def predict(df: DataFrame, text: str, langs: list[str], p: np.ndarray, pieces: t
         trie = Trie(pieces)
         trie.links = None  # the arrays are enough here
 
+        longest = max(map(len, pieces), default=1)
+
         def scores(words):  # log probability by language, then the number of letters
             plain = [letters(w) for w in words]
-            runs, owner = [], []
-            for i, w in enumerate(plain):
-                for j in range(0, len(w), RUN):
-                    runs.append(w[j : j + RUN])
-                    owner.append(i)
+            some = [i for i, w in enumerate(plain) if w]
             out = np.zeros((len(words), len(langs) + 1))
             out[:, -1] = [len(w) for w in plain]
-            order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
-            for i in range(0, len(order), 8192):
-                part = order[i : i + 8192]
-                np.add.at(out[:, :-1], np.array(owner)[part], Lattice(trie, [runs[k] for k in part], len(pieces)).log_prob(p))
+            if some and langs:
+                out[some, :-1] = word_log_probs(trie, [plain[i] for i in some], p, len(pieces), longest)
             return out
 
         cache = WordCache(scores, len(langs) + 1)
