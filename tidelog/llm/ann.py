@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product: inverted file, product-quantised residuals, exact reranking.
 
-Coarse centroids and code books are fitted by k-means on a bounded sample (`sample` vectors at
-most, chosen by hash of the id); every vector is indexed: its cell, and one code for each part of
+Coarse centroids and code books are fitted by k-means on a bounded sample (about `sample` vectors, or
+16 for each cell, chosen by hash of the id; cells grow with the square root of the rows, up to
+MOST_CELLS, so the sample never exceeds 16 * MOST_CELLS); every vector is indexed: its cell, and one code for each part of
 its residual. A query probes the cells with the largest inner products; how many is set on the
 sample, so that `recall` of its true neighbours lie in probed cells. Within a cell, asymmetric
 distance tables estimate the inner products, and every vector's quantisation error bounds how far its
@@ -10,14 +11,18 @@ bound reaches the k-th safe one, so that of probed cells no true neighbour is lo
 spread over many tasks and no task holds more than about `part` vectors.
 
 Defined cases: vectors that are null, empty, zero, or hold nulls or non-finite numbers take no
-part, nor do rows without id or with another length than most; ties go to the smaller id; a
-query's own id is never a candidate; fewer candidates than k give fewer rows; an empty table gives
-an empty table.
+part, nor do rows without id; vectors of different lengths have no inner product, so those of each
+length are searched among themselves; ties go to the smaller id; a query's own id is never a
+candidate; rows that repeat id and vector count as one; of queries that share an id, the one with the
+least vector asks; fewer candidates than k give fewer rows; an empty table gives an empty table; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import json
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +51,20 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.concatenate([(x[i : i + 4096] @ c.T - half).argmax(axis=1) for i in range(0, len(x), 4096)]) if len(x) else np.zeros(0, np.int64)
 
 
+MOST_CELLS = 16_384
+
+
+def n_cells(total: int) -> int:
+    return max(1, min(math.isqrt(total) // 2, MOST_CELLS))
+
+
 class Model:
     """Centroids, code books (parts x codes x width) and the number of cells to probe."""
 
     def __init__(self, x: np.ndarray, total: int, recall: float, k: int, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.dim = x.shape[1]
-        self.centroids = kmeans(x, max(1, min(int(math.sqrt(total) / 2), 1024, len(x))), 8, rng)
+        self.centroids = kmeans(x, min(n_cells(total), len(x)), 8, rng)
         parts = next(m for m in (8, 4, 2, 1) if self.dim % m == 0)
         cell = nearest(x, self.centroids)
         rest = x - self.centroids[cell]
@@ -91,6 +103,15 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy().reshape(len(col), dim)
 
 
+def _once(ids: np.ndarray, vecs: np.ndarray, codes: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows by id, those that repeat an id and its vector once."""
+    if len(np.unique(ids)) < len(ids):
+        seen: set[tuple[int, bytes]] = set()
+        own = [i for i, key in enumerate(zip(ids.tolist(), map(bytes, vecs), strict=True)) if not (key in seen or seen.add(key))]
+        ids, vecs, codes, offs = ids[own], vecs[own], codes[own], offs[own]
+    return ids, vecs, codes, offs
+
+
 def search(df: DataFrame, id_col: str, vec_col: str, queries: Column, *, k: int = 20, sample: int = 16_384, part: int = 4096, recall: float = 0.99) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row for which `queries` holds."""
     spark = df.sparkSession
@@ -99,8 +120,13 @@ def search(df: DataFrame, id_col: str, vec_col: str, queries: Column, *, k: int
     dims = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()  # a row for each length of vectors
     if not dims:
         return spark.createDataFrame([], out_type)
-    dim, total = max(((r["d"], r["n"]) for r in dims), key=lambda x: (x[1], -x[0]))
-    rows = rows.filter(F.size("v") == dim)
+    each = [_search(rows.filter(F.size("v") == r["d"]), r["d"], r["n"], k, sample, part, recall) for r in sorted(dims)]
+    return reduce(DataFrame.unionByName, each)
+
+
+def _search(rows: DataFrame, dim: int, total: int, k: int, sample: int, part: int, recall: float) -> DataFrame:
+    spark = rows.sparkSession
+    sample = max(sample, 16 * n_cells(total))
     drawn = rows if total <= sample else rows.filter(F.pmod(F.xxhash64("id"), F.lit(total)) < sample)
     got = drawn.select("v", "id").limit(2 * sample).toArrow().combine_chunks().sort_by("id")
     x = np.array(got["v"].to_pylist(), np.float64).reshape(-1, dim)
@@ -121,10 +147,11 @@ def search(df: DataFrame, id_col: str, vec_col: str, queries: Column, *, k: int
 
     indexed = materialise(indexed.withColumn("probes", F.when(F.col("q"), F.col("probes"))), "ann-index")
     sizes = {r["cell"]: r["n"] for r in indexed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # a row for each cell
-    n_parts = F.array(*[F.lit(max(1, math.ceil(sizes.get(c, 0) / part))) for c in range(max(sizes) + 1)])
+    n_parts = F.from_json(F.lit(json.dumps([max(1, math.ceil(sizes.get(c, 0) / part)) for c in range(max(sizes) + 1)])), "array<int>")
     spread = F.get(n_parts, F.col("cell"))
     held = indexed.select("cell", F.pmod(F.xxhash64("id"), spread).cast("int").alias("part"), F.lit(0).alias("kind"), "id", "v", "codes", "off")
-    asked = indexed.filter("q").select("id", "v", F.explode("probes").alias("cell")).filter(spread.isNotNull())
+    asked = indexed.filter("q").groupBy("id").agg(F.min(F.struct("v", "probes")).alias("x"))  # one query for each id
+    asked = asked.select("id", "x.v", F.explode("x.probes").alias("cell")).filter(spread.isNotNull())
     asked = asked.select("cell", F.explode(F.sequence(F.lit(0), spread - 1)).alias("part"), F.lit(1).alias("kind"), "id", "v", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("off"))
     keyed = held.unionByName(asked).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind", "id")
 
@@ -168,7 +195,7 @@ def search(df: DataFrame, id_col: str, vec_col: str, queries: Column, *, k: int
                 if block is None:
                     if not ids:
                         continue
-                    block = np.concatenate(ids), np.concatenate(vecs), np.concatenate(codes), np.concatenate(offs)
+                    block = _once(np.concatenate(ids), np.concatenate(vecs), np.concatenate(codes), np.concatenate(offs))
                 for i in range(0, e - s, 64):
                     one = sub.slice(i, 64)
                     out += ranked(one.column(3).to_numpy(), _matrix(one.column(4), dim))
