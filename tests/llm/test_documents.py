@@ -57,6 +57,26 @@ def test_bpe(spark, awkward, nothing):
     assert bpe.encode(awkward, "text", RANKS, P.PATTERN, cached=0).columns[-3:] == ["_n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_bpe_of_long_words(spark):
+    import random
+    import time
+
+    r = random.Random(4)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    letters = lambda n: "".join(r.choices(signs[:52], k=n))
+    english = "".join(r.choices("the quick brown fox jumps over a lazy dog and then some other words follow it".split(), k=20_000))
+    texts = ["a" * 100_000, letters(100_000), letters(1_000_000), "=" * 50_000, " " * 30_000 + "x", "ab" * 20_000, english, "é" * 9_000, "".join(r.choices(signs, k=70)), "a" * 1_000_000, "".join(r.choices("一二三四五六七", k=5_000))]
+    began = time.time()
+    got = {r.i: r for r in bpe.encode(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "text", RANKS, P.PATTERN, cached=0, with_ids=True).collect()}
+    print(time.time() - began)
+    for i, t in enumerate(texts):
+        if len(set(t[:2000])) > 2 or len(t) <= 30_000:
+            assert got[i].ids == enc.encode_ordinary(t), i
+        assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+    assert got[0].ids == enc.encode_ordinary("a" * 100_000)
+
+
 def test_splitter():
     import regex
 
@@ -216,6 +236,48 @@ def test_langid(spark, awkward, nothing):
     assert langid.identify(nothing, "doc_id", "text", "lang", PIECES).count() == 0
 
 
+def test_langid_by_brute_force(spark):
+    """Prediction and score of whole texts, every word summed over all its segmentations one place at a time, long words too."""
+    import math
+
+    df = docs(spark).filter("doc_id < 60").unionByName(docs(spark).limit(1).selectExpr("cast(-1 as bigint) doc_id", "repeat('wordwithoutend', 400) text", "lang", "source", "n_chars"))
+    counts = langid.training_counts(df, "doc_id", "text", "lang", ~langid.held_out(F.col("doc_id")), 1500, 15_000)
+    langs, p = langid.fit(counts, PIECES)
+    number = {x: i for i, x in enumerate(PIECES)}
+    known: dict[str, list[float]] = {}
+
+    def log_sum(xs):
+        top = max(xs)
+        return top + math.log(sum(math.exp(x - top) for x in xs))
+
+    def of_word(w):
+        if w not in known:
+            s, out = "▁" + w, []
+            for k in range(len(langs)):
+                a = [0.0]
+                for j in range(1, len(s) + 1):
+                    arcs = [a[i] + math.log(p[number[s[i:j]], k]) for i in range(max(0, j - 20), j) if s[i:j] in number]
+                    if s[j - 1] not in number:
+                        arcs.append(a[j - 1] + math.log(p[-1, k]))
+                    a.append(log_sum(arcs))
+                out.append(a[-1])
+            known[w] = out
+        return known[w]
+
+    assert max(map(len, PIECES)) <= 20
+    texts = {r.doc_id: r.text for r in df.collect()}
+    got = langid.identify(df, "doc_id", "text", "lang", PIECES, keep=["doc_id"]).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ws = [x for x in map(langid.letters, words(texts[r.doc_id])) if x]
+        if not ws:
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        total = [sum(of_word(w)[k] for w in ws) for k in range(len(langs))]
+        best = max(range(len(langs)), key=lambda k: total[k])
+        assert r.lang_pred == langs[best] and abs(r.score - 1 / sum(math.exp(x - total[best]) for x in total)) < 1e-6
+
+
 def test_forward_sums_all_segmentations():
     from tidelog.llm.words import MARK, Trie
 
@@ -227,6 +289,8 @@ def test_forward_sums_all_segmentations():
 
     for w in ("a", "ab", "abab", "bca", "ba"):
         assert np.isclose(np.exp(langid.Lattice(Trie(pieces), [w], len(pieces)).log_prob(p)[0, 0]), total(MARK + w))
+        for window in (1, 2, 3, 4096):
+            assert np.isclose(np.exp(langid.long_log_prob(Trie(pieces), w, p, len(pieces), 2, window)[0]), total(MARK + w))
 
 
 def test_near_copies_in_one_large_group(spark):

@@ -39,6 +39,76 @@ def test_extraction_of_heads_without_end(spark):
     assert [b[0] for b in html_extract.blocks("<head><title>t</title> One <b>two</b><p>three")] == ["One two", "three"]
 
 
+def test_extraction_of_odd_markup():
+    texts = lambda page: [b[0] for b in html_extract.blocks(page)]
+    assert texts('<article><p>A</p><svg class="icon"/><p>B</p></article>') == ["A", "B"]
+    assert texts("<article><p>A</p><button>go<p>B</p><select><option>C<p>D</p>") == ["A", "go", "B", "C", "D"]
+    assert texts("<p>A<button>go</button> B<svg><text>x</text></svg></p><noscript><p>C</p></noscript><object><p>D</p></object><canvas>E</canvas>") == ["A B", "C", "D", "E"]
+    assert texts("<html><head><title>t</title><p>A</p><p>B</p></html>") == ["A", "B"]
+    assert texts('<p class="x"">A</p><p title=y">B</p><p title="a > b">C</p>') == ["A", "B", "C"]
+    assert texts("<p>A<script>x('</p>')") == ["A"] and texts("<p>A<!-- x") == ["A"] and texts("<title/>A") == ["A"]
+    many = "<div class='" + " ".join("abcdefgh"[i % 8] * (i + 1) for i in range(30)) + "'>x</div>"
+    assert len(html_extract.blocks(many)[0][2]) == 31
+    assert len(texts("<p>word one, two.</p>" * 20_000 + "<button>" * 5000)) == 20_000
+
+
+def test_blocks_by_another_parser(spark):
+    """The standard library's parser finds the same texts between the same tags."""
+    from html.parser import HTMLParser
+
+    class Other(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.out, self.held, self.skip = [], [], ""
+
+        def flush(self):
+            text = " ".join("".join(self.held).split())
+            self.out += [text] if text else []
+            self.held = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in html_extract.DROPPED:
+                self.skip = self.skip or tag
+            elif tag in html_extract.BLOCKS:
+                self.flush()
+            elif tag in ("br", "img", "input", "wbr"):
+                self.held.append(" ")
+
+        def handle_endtag(self, tag):
+            if tag == self.skip:
+                self.skip = ""
+            elif tag in html_extract.BLOCKS:
+                self.flush()
+
+        def handle_data(self, data):
+            if not self.skip:
+                self.held.append(data)
+
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()] + html_extract.labelled_pages(30, seed=3)
+    for page in pages:
+        other = Other()
+        other.feed(page or "")
+        other.close()
+        other.flush()
+        assert [b[0] for b in html_extract.blocks(page or "")] == other.out
+
+
+def test_viterbi_and_likelihood_by_enumeration():
+    from itertools import product
+
+    field = html_extract.trained()
+    rng = np.random.default_rng(1)
+
+    def score(s, ys):
+        return field.first[ys[0]] + sum(s[i] * y for i, y in enumerate(ys)) + sum(field.trans[a, b] for a, b in zip(ys, ys[1:], strict=False))
+
+    for n in (1, 2, 5, 9):
+        for _ in range(10):
+            s = rng.normal(size=n) * 3
+            got = tuple(int(y) for y in field.decode(s))
+            assert np.isclose(score(s, got), max(score(s, ys) for ys in product((0, 1), repeat=n)))
+
+
 def test_warc_cases(spark):
     big = "<p>" + "x" * 200 + "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n</p>"
     rows = [(5, "http://a.example/x?y#z", big), (3, None, big), (3, None, big), (9, "no\r\nurl", big), (7, "u", "short"), (8, "u", "short"), (1, "u", None), (None, "u", ""), (2, "u", "é" * 60)]
@@ -126,5 +196,9 @@ def test_ann_cases(spark):
     assert {r.query_id for r in got} == {0, 20, 40} and all(r.vec_id < 60 for r in got)
     assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 20] == [2, 5, 8, 11, 14]
     assert ann.search(df.limit(0), "vec_id", "embedding", F.lit(True)).count() == 0
+    twice = ann.search(df.unionByName(df), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=5).collect()
+    assert sorted(twice) == sorted(got)
+    lengths = spark.createDataFrame([(i, [float(i)] * (1 + i % 2)) for i in range(1, 9)], "vec_id long, embedding array<float>")
+    assert {(r.query_id, r.vec_id) for r in ann.search(lengths, "vec_id", "embedding", F.col("vec_id") <= 2).collect()} == {(1, 3), (1, 5), (1, 7), (2, 4), (2, 6), (2, 8)}
     few = ann.search(df.filter("vec_id < 3"), "vec_id", "embedding", F.lit(True)).collect()
     assert len(few) == 6
