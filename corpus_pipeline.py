@@ -1,7 +1,14 @@
 """The corpus pipeline: language ID, exact dedup, n-gram Jaccard join, mixing, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
-again as the next stage's docs. All but the last return the columns of documents.
+again as the next stage's docs. All but the last return the columns of documents. A stage's table is
+removed from the shared folder when the next one is written.
+
+Defined cases, from the stages' operators: a null, empty or letterless text goes in language ID, as do
+all rows where no row is labelled; of equal texts the row of smallest id stays, rows without id after
+all others; one row of each class of near copies stays, rows of equal ids are told apart by their
+place; a null source is a source of the mix; texts of any length pass whole; an empty table gives an
+empty table of the last stage's columns; columns besides those of documents are passed on to the mix.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import bpe, exact_dedup, langid, mixing, ngram_join
-from tidelog.llm.common import scratch, table
+from tidelog.llm.common import discard, scratch, table
 from tidelog.llm.words import load_pieces
 
 LEAST_SCORE = 0.5  #: a document whose best language has a smaller share goes
@@ -51,11 +58,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             path = scratch(spark, f"pipeline-{name}")
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+            if last:
+                discard(spark, last)
+            last = path
     return docs
