@@ -4,7 +4,7 @@ import re
 
 import public_tokenizers as P
 import tiktoken
-from tidelog.llm import bpe
+from tidelog.llm import bpe, mixing
 
 from tests.llm.test_documents import brute_links, normal
 
@@ -33,7 +33,8 @@ def test_stages(spark, tmp_path):
             _, classes = brute_links([(r.doc_id, r.text) for r in before])
             assert sorted(r.doc_id for r in after) == sorted(i for i, c in classes.items() if i == c)
         elif name == "mixing":
-            assert {r.doc_id for r in after} <= {r.doc_id for r in before}
+            row = {r.doc_id: r for r in before}
+            assert sorted(after) == sorted(row[r.doc_id] for r in mixing.plan(spark.createDataFrame(before)).collect() if r.size for _ in range(-(-r.taken // r.size)))
         else:
             enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
             assert sorted((r.doc_id, r.ids) for r in after) == sorted((r.doc_id, enc.encode_ordinary(r.text)) for r in before)
@@ -49,3 +50,14 @@ def test_mix_keeps_documents_whole(spark):
     assert any(r.taken % r.size for r in plan)
     want = sorted(row[r.doc_id] for r in plan for _ in range(-(-r.taken // r.size)))
     assert sorted(corpus_pipeline.mix(spark, docs, SF).collect()) == want
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    """Nulls, empty and very long texts, ties, repeated rows, clashing columns and an empty table pass all stages."""
+    import corpus_pipeline
+
+    for df, kept in ((awkward, {1, 6, 8, None}), (nothing, set())):
+        docs = df
+        for _, stage in corpus_pipeline.STAGES:
+            columns, docs = docs.columns, stage(spark, docs, SF)
+        assert {r.doc_id for r in docs.collect()} <= kept and docs.columns[:3] == ["doc_id", "lang", "source"] and columns == df.columns
