@@ -164,40 +164,38 @@ def _byte_lists(words: list[str | bytes | int], byte_ids: np.ndarray) -> pa.List
 class Cutter:
     """Cuts a long word where no token can reach across, which leaves its ids as they are.
 
-    A token of the word's encoding, at any time of the merging, is a token of the vocabulary that stands there in the word. So a place that
-    no occurrence of any token covers is never merged across, and the parts on both sides are encoded apart. A part that stays longer than
-    MOST_FOLD bytes (long runs of one sign and the like) is merged here by a heap of its pairs, and its ids are handed on one by one.
+    Whatever stands on both sides of a merge is part of a token of the vocabulary: two bytes that are a token, or three bytes that some token
+    has in a row, one of them across the place. Where neither is so nothing merges across, and the parts on both sides are encoded apart. A
+    part that stays longer than MOST_FOLD bytes (long runs of one sign and the like) is merged here by a heap of its pairs, and its ids are
+    handed on one by one.
     """
 
     def __init__(self, pieces: list[bytes]):
-        import ahocorasick
-
-        self.ranks = {t: r for r, t in enumerate(pieces) if t}
-        self.found = ahocorasick.Automaton()
-        for t in self.ranks:
-            if len(t) > 1:
-                self.found.add_word(t.decode("latin-1"), len(t))
-        self.found.make_automaton()
+        self.pieces, self.ranks = pieces, {}
+        self.pairs = np.zeros(1 << 16, bool)
+        self.pairs[[t[0] << 8 | t[1] for t in pieces if len(t) == 2]] = True
+        self.threes = np.array(sorted({t[k] << 16 | t[k + 1] << 8 | t[k + 2] for t in pieces for k in range(len(t) - 2)} | {-1}))
 
     def __call__(self, word: str) -> list[bytes | int]:
         raw = word.encode()
-        turns = np.zeros(len(raw) + 1, np.int64)
-        spans = list(self.found.iter(raw.decode("latin-1")))
-        if spans:
-            last, length = np.array(spans).T
-            np.add.at(turns, last - length + 2, 1)
-            np.add.at(turns, last + 1, -1)
-        cuts = [0, *(np.flatnonzero(np.cumsum(turns[:-1])[1:] == 0) + 1).tolist(), len(raw)]
+        b = np.frombuffer(raw, np.uint8).astype(np.int64)
+        joined = self.pairs[b[:-1] << 8 | b[1:]]  # place i: between bytes i and i + 1
+        three = b[:-2] << 16 | b[1:-1] << 8 | b[2:]
+        held = self.threes[np.searchsorted(self.threes, three, side="right") - 1] == three
+        joined[:-1] |= held
+        joined[1:] |= held
+        cuts = [0, *(np.flatnonzero(~joined) + 1).tolist(), len(raw)]
         out: list[bytes | int] = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            out += [raw[a:b]] if b - a <= MOST_FOLD else self.merged(raw[a:b])
+        for start, stop in zip(cuts, cuts[1:], strict=False):
+            out += [raw[start:stop]] if stop - start <= MOST_FOLD else self.merged(raw[start:stop])
         return out
 
     def merged(self, raw: bytes) -> list[int]:
         """Ids of raw: the least pair, leftmost first, merges until none does."""
+        self.ranks = self.ranks or {t: r for r, t in enumerate(self.pieces) if t}
         n, get = len(raw), self.ranks.get
         after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        none = len(self.ranks)
+        none = len(self.pieces)
         due = [get(raw[i : i + 2], none) for i in range(n - 1)] + [none]
         heap = [(r, i) for i, r in enumerate(due) if r < none]
         heapq.heapify(heap)
