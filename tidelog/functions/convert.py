@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import base64
+import json as json_lib
+import re
+import struct
+from decimal import Decimal
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +41,14 @@ def _digits(c: Column) -> tuple[Column, Column, Column, Column]:
     return sign, digits, exponent + F.length(whole) - 1 - lead, s
 
 
-def f64_text(c: Column) -> Column:
-    """A double as its shortest decimal, never with an exponent: 12, 0.5, 100000000000000000000."""
+def _once(c: Column, body) -> Column:
+    """body(parts of c's digits), the digits taken apart once and not at each use."""
     sign, d, e, s = _digits(c)
+    parts = F.struct(sign.alias("sign"), d.alias("d"), e.alias("e"), s.alias("s"))
+    return F.element_at(F.transform(F.array(parts), lambda x: F.when(x["s"].isNotNull(), body(x["sign"], x["d"], x["e"], x["s"]))), 1)
+
+
+def _plain(sign: Column, d: Column, e: Column, s: Column) -> Column:
     n = F.length(d)
     text = (
         F.when(n == 0, "0")
@@ -43,15 +56,24 @@ def f64_text(c: Column) -> Column:
         .when(e >= n - 1, F.concat(d, F.repeat(F.lit("0"), e - n + 1)))
         .otherwise(F.concat(F.substr(d, F.lit(1), e + 1), F.lit("."), F.substr(d, e + 2, n)))
     )
-    return F.when(s.isin("NaN", "Infinity", "-Infinity"), F.when(s == "Infinity", "+Inf").when(s == "-Infinity", "-Inf").otherwise("NaN")).otherwise(F.concat(F.when(n == 0, "").otherwise(sign), text))
+    odd = F.when(s == "Infinity", "+Inf").when(s == "-Infinity", "-Inf").when(s == "NaN", "NaN")
+    return F.coalesce(odd, F.concat(F.when(n == 0, "").otherwise(sign), text))
+
+
+def _short(sign: Column, d: Column, e: Column, s: Column) -> Column:
+    power = F.concat(F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), F.greatest(F.lit(2), F.length(F.abs(e).cast("string"))), F.lit("0")))
+    long = F.concat(sign, F.substr(d, F.lit(1), F.lit(1)), F.when(F.length(d) > 1, F.concat(F.lit("."), F.substr(d, F.lit(2), F.length(d)))).otherwise(""), power)
+    return F.when((F.length(d) > 0) & ((e < -4) | (e >= 6)) & ~s.isin("NaN", "Infinity", "-Infinity"), long).otherwise(_plain(sign, d, e, s))
+
+
+def f64_text(c: Column) -> Column:
+    """A double as its shortest decimal, never with an exponent: 12, 0.5, 100000000000000000000."""
+    return _once(c, _plain)
 
 
 def g_text(c: Column) -> Column:
     """A double as %g writes its shortest form: an exponent from 1e+06 on and below 1e-04."""
-    sign, d, e, _ = _digits(c)
-    power = F.concat(F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), 2, "0"))
-    long = F.concat(sign, F.substr(d, F.lit(1), F.lit(1)), F.when(F.length(d) > 1, F.concat(F.lit("."), F.substr(d, F.lit(2), F.length(d)))).otherwise(""), power)
-    return F.when((F.length(d) > 0) & ((e < -4) | (e >= 6)), long).otherwise(f64_text(c))
+    return _once(c, _short)
 
 
 def float4(c: Column) -> Column:
@@ -75,24 +97,38 @@ def qchar(c: Column) -> Column:
     return F.char(c)
 
 
-def _fraction(ts: Column) -> Column:
-    """The microseconds of a timestamp with their trailing zeros trimmed, with a point in front; nothing for 0."""
-    return F.regexp_replace(F.date_format(ts, ".SSSSSS"), r"\.?0+$", "")
+def wall_clock(c: Column) -> Column:
+    """The clock reading of a timestamp, without zone."""
+    return c.cast("timestamp_ntz")
+
+
+def utc_clock(c: Column) -> Column:
+    """The clock reading in UTC of an instant, whatever the session's zone; a timestamp without zone is UTC already."""
+    since = F.make_dt_interval(secs=(F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"))
+    return F.when(F.typeof(c) == "timestamp", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).otherwise(wall_clock(c))
 
 
 def timestamp(c: Column) -> Column:
     """Milliseconds since the epoch of a timestamp without zone, read as UTC."""
-    return F.unix_millis(c.cast("timestamp"))
+    t = wall_clock(c)
+    seconds = F.unix_date(t.cast("date")).cast("bigint") * 86_400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    return seconds * 1000 + F.floor(F.date_part(F.lit("SECOND"), t) % 1 * 1000).cast("bigint")
+
+
+def micros_of_day(c: Column) -> Column:
+    """Microseconds since midnight of a timestamp's clock reading."""
+    t = wall_clock(c)
+    return (F.hour(t) * 3600 + F.minute(t) * 60).cast("bigint") * 1_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
 
 
 def timestamptz(c: Column) -> Column:
     """RFC 3339 in UTC with a trimmed fraction."""
-    return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), _fraction(c), F.lit("Z"))
+    return F.concat(timestamp_text(utc_clock(c)), F.lit("Z"))
 
 
 def timestamp_text(c: Column) -> Column:
     """A timestamp without zone as text, its fraction trimmed."""
-    return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), _fraction(c))
+    return F.replace(wall_clock(c).cast("string"), F.lit(" "), F.lit("T"))
 
 
 def time(micros: Column) -> Column:
@@ -114,6 +150,19 @@ def timetz_text(text: Column) -> Column:
     return timetz(micros, (n(6) * 60 + n(7)) * 60 * F.when(part(5) == "-", -1).otherwise(1))
 
 
+def _big_endian(raw: Column, start: int, size: int) -> Column:
+    """A signed number of `size` bytes."""
+    half = 1 << (8 * size - 1)
+    n = F.conv(F.hex(F.substring(raw, start, size)), 16, 10).cast("decimal(20,0)")
+    return F.when(n >= F.lit(str(half)).cast("decimal(20,0)"), n - F.lit(str(2 * half)).cast("decimal(20,0)")).otherwise(n).cast("bigint")
+
+
+def timetz_binary(raw: Column) -> Column:
+    """The twelve bytes of a time with zone: microseconds, then seconds of the zone (added). Other lengths are an error."""
+    wrong = F.raise_error(F.concat(F.lit("a time with zone has 12 bytes, not "), F.length(raw).cast("string")))
+    return F.when(raw.isNull(), F.lit(None).cast("string")).when(F.length(raw) == 12, timetz(_big_endian(raw, 1, 8), _big_endian(raw, 9, 4))).otherwise(wrong.cast("string"))
+
+
 def interval(months: Column, days: Column, micros: Column) -> Column:
     """Microseconds; a month counts a twelfth of 365.25 days."""
     return micros + days * 86_400_000_000 + F.round(months * (365.25 / 12) * 86_400_000_000.0).cast("bigint")
@@ -134,13 +183,56 @@ def bits(raw: Column, length: Column) -> Column:
     return F.substr(every, F.lit(1), length)
 
 
+def _json_number(x: float) -> str:
+    if x != x or x in (float("inf"), float("-inf")):
+        raise ValueError("not a JSON number")
+    sign, digits, power = Decimal(repr(x)).as_tuple()
+    text = "".join(map(str, digits)).rstrip("0")
+    if not text:
+        return "-0" if sign else "0"
+    first = len(digits) + power - 1  # exponent of the first digit
+    if -7 < first < 21:
+        text = format(Decimal((sign, tuple(map(int, text)), first + 1 - len(text))), "f")
+        return text
+    return ("-" if sign else "") + text[0] + ("." + text[1:] if text[1:] else "") + f"e{first:+03d}".replace("e-0", "e-")
+
+
+#: Characters that JSON text of events writes as escapes.
+_ESCAPES = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t"} | {c: f"\\u{ord(c):04x}" for c in [*map(chr, range(32)), *"<>&\u2028\u2029"] if c not in "\n\r\t"}
+_ESCAPED = re.compile('[\\x00-\\x1f"\\\\<>&\u2028\u2029\ud800-\udfff]')
+
+
+def _json_text(v) -> str:
+    if isinstance(v, str):
+        return '"' + _ESCAPED.sub(lambda m: _ESCAPES.get(m[0], "\ufffd"), v) + '"'
+    if isinstance(v, dict):
+        return "{" + ",".join(f"{_json_text(k)}:{_json_text(v[k])}" for k in sorted(v)) + "}"
+    if isinstance(v, list):
+        return "[" + ",".join(map(_json_text, v)) + "]"
+    return {None: "null", True: "true", False: "false"}[v] if v is None or isinstance(v, bool) else _json_number(float(v))
+
+
+def _no_constant(name: str):
+    raise ValueError(name)
+
+
+def json_object(text: str | None) -> str | None:
+    """An object as compact text: keys sorted at each depth, numbers as doubles, < > & escaped. Anything else as it stands."""
+    if text is None or not text.lstrip().startswith("{"):
+        return text
+    try:
+        return _json_text(json_lib.loads(text, parse_constant=_no_constant))
+    except (ValueError, RecursionError, OverflowError):
+        return text
+
+
 def json(c: Column) -> Column:
-    """Objects as compact text with sorted keys; anything else as compact text."""
-    m = F.from_json(c, "map<string,string>")
-    keys = F.array_sort(F.map_keys(m))
-    quoted = lambda v: F.when(v.rlike(r"^(-?\d+(\.\d+)?([eE][+-]?\d+)?|true|false|null|[\[{].*)$"), v).otherwise(F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(v, r"\\", r"\\\\"), '"', r'\\"'), F.lit('"')))
-    each = F.transform(keys, lambda k: F.concat(F.lit('"'), k, F.lit('":'), F.coalesce(quoted(F.element_at(m, k)), F.lit("null"))))
-    return F.when(m.isNotNull() & c.startswith("{"), F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}"))).otherwise(c)
+    """Objects as compact text with sorted keys (`json_object`), in Arrow batches: no built-in function keeps the types of nested members."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(json_object, na_action="ignore")
+
+    return F.pandas_udf(run, T.StringType())(c.cast("string"))
 
 
 def oid(c: Column) -> Column:
@@ -235,18 +327,76 @@ def date_range(r: Column) -> Column:
     return range_text(_closed_open(r, lambda v: F.date_add(v, 1)), lambda v: v.cast("string"))
 
 
+# Flags and codes of geometry types in EWKB, and what WKB adds to a code for its dimensions.
+EWKB_Z, EWKB_M, EWKB_SRID = 0x80000000, 0x40000000, 0x20000000
+POINT, LINE, POLYGON, MULTI_POINT, MULTI_LINE, MULTI_POLYGON, COLLECTION = range(1, 8)
+WKB_Z, WKB_M = 1000, 2000
+
+
+def wkb_of(raw: bytes) -> tuple[bytes, int]:
+    """Big-endian WKB and SRID of EWKB of any of the seven types, in either byte order, with Z and M."""
+    out: list[bytes] = []
+    srid = 0
+
+    def geometry(at: int) -> int:
+        nonlocal srid
+        order = "<" if raw[at] == 1 else ">"
+        number = lambda k: struct.unpack_from(order + "I", raw, k)[0]
+        code, at = number(at + 1), at + 5
+        kind, dims = code & 0xFFFF, 2 + bool(code & EWKB_Z) + bool(code & EWKB_M)
+        if not POINT <= kind <= COLLECTION:
+            raise ValueError(f"geometry type {kind} is not supported")
+        if code & EWKB_SRID:
+            srid, at = struct.unpack_from(order + "i", raw, at)[0], at + 4
+        out.append(b"\0" + struct.pack(">I", kind + WKB_Z * bool(code & EWKB_Z) + WKB_M * bool(code & EWKB_M)))
+
+        def points(n: int, at: int) -> int:
+            values = np.frombuffer(raw, order + "f8", n * dims, at)
+            out.append(values.astype(">f8").tobytes())
+            return at + 8 * n * dims
+
+        def counted(at: int) -> tuple[int, int]:
+            out.append(struct.pack(">I", number(at)))
+            return number(at), at + 4
+
+        if kind == POINT:
+            return points(1, at)
+        n, at = counted(at)
+        if kind == LINE:
+            return points(n, at)
+        for _ in range(n):
+            at = points(*counted(at)) if kind == POLYGON else geometry(at)
+        return at
+
+    end = geometry(0)
+    if end != len(raw):
+        raise ValueError(f"{len(raw) - end} bytes after a geometry's end")
+    return b"".join(out), srid
+
+
 def ewkb(raw: Column) -> Column:
-    """A little- or big-endian EWKB point: big-endian WKB in base64, and the SRID."""
-    h = F.hex(raw)
-    little = F.substring(h, 1, 2) == "01"
-    turn = lambda x, n: F.when(little, F.array_join(F.transform(F.sequence(F.lit(n - 1), F.lit(0), F.lit(-1)), lambda i: F.substring(x, i * 2 + 1, F.lit(2))), "")).otherwise(x)
-    kind = F.conv(turn(F.substring(h, 3, 8), 4), 16, 10).cast("bigint")
-    has_srid = kind.bitwiseAND(0x20000000) != 0
-    srid = F.when(has_srid, F.conv(turn(F.substring(h, 11, 8), 4), 16, 10).cast("int")).otherwise(F.lit(0))
-    at = F.when(has_srid, 19).otherwise(11)
-    xy = lambda i: turn(F.substring(h, at + 16 * i, F.lit(16)), 8)
-    wkb = F.concat(F.lit("00"), F.lpad(F.hex(kind.bitwiseAND(0x1FFFFFFF)), 8, "0"), xy(0), xy(1))
-    return F.struct(F.base64(F.unhex(wkb)).alias("wkb"), srid.alias("srid"))
+    """EWKB as big-endian WKB in base64, and the SRID; in Arrow batches, as its parts nest."""
+
+    def run(values: pd.Series) -> pd.DataFrame:
+        found = [(None, None) if v is None else wkb_of(v) for v in values]
+        return pd.DataFrame({"wkb": [None if b is None else base64.b64encode(b).decode() for b, _ in found], "srid": pd.array([n for _, n in found], "Int32")})
+
+    shape = T.StructType([T.StructField("wkb", T.StringType()), T.StructField("srid", T.IntegerType())])
+    return F.when(raw.isNotNull(), F.pandas_udf(run, shape)(raw))
+
+
+def ltree_binary(raw: Column) -> Column:
+    """A version byte (1, or it is an error), then the path."""
+    wrong = F.raise_error(F.lit("a path of labels begins with version 1")).cast("string")
+    return F.when(raw.isNull(), F.lit(None).cast("string")).when((F.length(raw) > 1) & (F.hex(F.substring(raw, 1, 1)) == "01"), F.decode(F.substring(raw, F.lit(2), F.length(raw)), "UTF-8")).otherwise(wrong)
+
+
+def array_text(text: Column, delimiter: str = ",") -> Column:
+    """The elements of an array's text form {a,"b c",NULL}, with its type's delimiter; one dimension."""
+    d = re.escape(delimiter)
+    each = F.regexp_extract_all(F.regexp_extract(text, r"(?s)^\s*\{(.*)\}\s*$", 1), F.lit(rf'(?s)"(?:[^"\\]|\\.)*"|[^{d}"\s](?:[^{d}"]*[^{d}"\s])?'), F.lit(0))
+    plain = lambda x: F.regexp_replace(F.regexp_replace(x, '(?s)^"(.*)"$', "$1"), r"(?s)\\(.)", "$1")
+    return F.transform(each, lambda x: F.when(F.lower(x) != "null", plain(x)))
 
 
 def array_of(c: Column, convert) -> Column:
@@ -267,9 +417,44 @@ def field_length(kind: str, modifier: Column) -> Column:
     return F.lit(None).cast("int")
 
 
+# Literals that are booleans.
+BOOLEANS = {"1": True, "t": True, "T": True, "TRUE": True, "true": True, "True": True, "0": False, "f": False, "F": False, "FALSE": False, "false": False, "False": False}
+
+
+def default_value(text: str) -> bool | int | float | str:
+    """A default literal by the rules of `default_kind`."""
+    if text in BOOLEANS:
+        return BOOLEANS[text]
+    if re.fullmatch(r"[+-]?\d+", text) and -(1 << 63) <= int(text) < 1 << 63:
+        return int(text)
+    return float(text) if re.fullmatch(r"(?i)[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)", text) else text
+
+
+def fnv1_64(text: Column) -> Column:
+    """struct(hi, lo): the halves of the 64-bit FNV-1a hash of a text's bytes, in numbers that never overflow."""
+    low = 0xFFFFFFFF
+    byte = lambda i: F.conv(F.hex(F.substring(text.cast("binary"), i, F.lit(1))), 16, 10).cast("bigint")
+
+    def step(h: Column, i: Column) -> Column:  # times 2**40 + 435
+        x = h["lo"].bitwiseXOR(byte(i))
+        small = x * 435
+        return F.struct((h["hi"] * 435 + F.shiftright(small, 32) + x * 256).bitwiseAND(low).alias("hi"), small.bitwiseAND(low).alias("lo"))
+
+    start = F.struct(F.lit(0xCBF29CE4).cast("bigint").alias("hi"), F.lit(0x84222325).cast("bigint").alias("lo"))
+    places = F.when(F.octet_length(text) > 0, F.sequence(F.lit(1), F.octet_length(text))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(places, start, step)
+
+
+def partition_of(text: Column, n: int) -> Column:
+    """The hash modulo n: which of n snapshot workers a table belongs to."""
+    h = fnv1_64(text)
+    return ((h["hi"] % n * ((1 << 32) % n) + h["lo"] % n) % n).cast("int")
+
+
 def default_kind(text: Column) -> Column:
     """What a default literal is: boolean, then integer, then float, then string."""
-    return F.when(F.lower(text).isin("true", "false", "t", "f", "1", "0"), "boolean").when(text.rlike(r"^[+-]?\d+$"), "integer").when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), "float").otherwise("string")
+    number = r"(?i)^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|inf|infinity|nan)$"
+    return F.when(text.isin(*BOOLEANS), "boolean").when(text.rlike(r"^[+-]?\d+$"), "integer").when(text.rlike(number), "float").otherwise("string")
 
 
 def spark_type(kind: str) -> T.DataType:

@@ -94,10 +94,13 @@ def statistics(log: DataFrame, kind: str) -> DataFrame:
     return log.agg(F.count("*").alias("total"), n("c").alias("inserts"), n("u").alias("updates"), n("d").alias("deletes"), n("r").alias("reads"), F.countDistinct("xid").alias("transactions"))
 
 
-def processed_positions(log: DataFrame, batch: Column) -> DataFrame:
-    """The position to confirm after each batch: never smaller than before."""
-    per = log.groupBy(batch.alias("batch")).agg(F.max("lsn").alias("m"))
-    return per.select("batch", F.max("m").over(Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)).alias("processed_lsn"))
+def processed_positions(log: DataFrame, batch: Column, span: int = 4096) -> DataFrame:
+    """The position to confirm after each batch (a number): never smaller than before. Running maxima within spans of batches, then over the spans."""
+    per = log.groupBy(batch.alias("batch")).agg(F.max("lsn").alias("m")).withColumn("span", F.floor(F.col("batch") / span))
+    before = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = per.groupBy("span").agg(F.max("m").alias("m")).select("span", F.max("m").over(before).alias("earlier"))  # a row for each span
+    own = F.max("m").over(Window.partitionBy("span").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0))
+    return per.withColumn("own", own).join(spans, "span").select("batch", F.greatest("own", "earlier").alias("processed_lsn"))
 
 
 def decode(log: DataFrame, types: dict[str, str], side: str = "new") -> DataFrame:

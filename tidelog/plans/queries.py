@@ -78,7 +78,8 @@ SELECT page, min(o_orderkey) AS first_key, max(o_orderkey) AS low, (SELECT max(o
 def watermark_progress(spark, sf):
     keyed = table(spark, sf, "orders").select("o_orderkey", F.floor(F.col("o_orderkey") / 1000).alias("page"))
     pages = keyed.groupBy("page").agg(F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("low"))
-    return pages.withColumn("high", F.max("low").over(Window.partitionBy())).withColumn("complete", F.col("low") == F.col("high"))
+    high = snapshot.high_watermark(keyed, ["o_orderkey"]).withColumnRenamed("o_orderkey", "high")  # one row
+    return pages.join(F.broadcast(high)).withColumn("complete", F.col("low") == F.col("high"))
 
 
 # ---- chunks and aggregates
@@ -92,12 +93,12 @@ def chunk_assign(spark, sf):
 
 @query("SELECT epoch_ms(date_trunc('minute', ts)) AS bucket, max(value) AS val FROM events GROUP BY 1")
 def cagg_minute_max(spark, sf):
-    return table(spark, sf, "events").groupBy(F.date_trunc("minute", "ts").alias("b")).agg(F.max("value").alias("val")).select(F.unix_millis(F.col("b").cast("timestamp")).alias("bucket"), "val")
+    return table(spark, sf, "events").groupBy(F.date_trunc("minute", "ts").alias("b")).agg(F.max("value").alias("val")).select(C.timestamp(F.col("b")).alias("bucket"), "val")
 
 
 @query("SELECT epoch_ms(date_trunc('day', ts)) AS bucket, max(value) AS val FROM events GROUP BY 1")
 def cagg_day_max(spark, sf):
-    return table(spark, sf, "events").groupBy(F.date_trunc("day", "ts").alias("b")).agg(F.max("value").alias("val")).select(F.unix_millis(F.col("b").cast("timestamp")).alias("bucket"), "val")
+    return table(spark, sf, "events").groupBy(F.date_trunc("day", "ts").alias("b")).agg(F.max("value").alias("val")).select(C.timestamp(F.col("b")).alias("bucket"), "val")
 
 
 # ---- joins
@@ -274,7 +275,7 @@ def xid_carry(spark, sf):
 def _events(spark, sf):
     """Flat payloads of the whole log."""
     log = with_before(wal(spark, sf))
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = C.timestamp(F.col("ts"))
     src = source(F.col("server_wal_end"), ms, F.col("op") == "r", F.lit("tsdb"), F.lit("tsdb"), F.lit("events"), F.col("xid"))
     image = lambda v: F.struct(F.col("key").alias("id"), v.alias("val"))
     value = payload(F.col("op"), image(F.col("before_value")), image(F.col("value")), src, ms)
@@ -359,8 +360,8 @@ def lsn_codec(spark, sf):
 # ---- filters
 
 
-@query("""SELECT s_name, CASE WHEN regexp_full_match(lower(s_name), 'supplier.*00') THEN false WHEN regexp_full_match(lower(s_name), 'supplier.*[0-9].') THEN true ELSE false END AS enabled FROM supplier
-WHERE false UNION ALL SELECT 'public.t' || n_nationkey, CASE WHEN regexp_full_match('t' || n_nationkey, 't.*4') THEN false WHEN regexp_full_match('t' || n_nationkey, 't.') THEN true WHEN n_nationkey = 20 THEN true ELSE false END FROM nation""")
+@query("""SELECT 'public.t' || n_nationkey AS s_name, CASE WHEN regexp_full_match('t' || n_nationkey, 't.*4') THEN false WHEN regexp_full_match('t' || n_nationkey, 't.') THEN true
+WHEN n_nationkey = 20 THEN true ELSE false END AS enabled FROM nation""")
 def table_filter(spark, sf):
     f = TableFilter(excludes=["public.t*4"], includes=["pub*.t?", 'public."t20"'])
     name = F.concat(F.lit("t"), F.col("n_nationkey").cast("string"))
@@ -425,24 +426,29 @@ def field_length(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", C.field_length("varbit", k - 1).alias("bit_length"), C.field_length("varchar[]", k).alias("char_length"))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'boolean' WHEN 1 THEN 'integer' WHEN 2 THEN 'float' ELSE 'string' END AS kind FROM part WHERE p_partkey > 1""")
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'boolean' WHEN 1 THEN CASE WHEN p_partkey = 1 THEN 'boolean' ELSE 'integer' END WHEN 2 THEN 'float' ELSE 'string' END AS kind FROM part""")
 def default_coercion(spark, sf):
     k = F.col("p_partkey")
     text = F.when(k % 4 == 0, "true").when(k % 4 == 1, k.cast("string")).when(k % 4 == 2, F.concat(k.cast("string"), F.lit(".5"))).otherwise(F.col("p_type"))
-    return table(spark, sf, "part").filter("p_partkey > 1").select("p_partkey", C.default_kind(text).alias("kind"))
+    return table(spark, sf, "part").select("p_partkey", C.default_kind(text).alias("kind"))
 
 
 # ---- sinks and statistics
 
 
-@query("SELECT event_id, props::JSON->>'x' IS NULL AS no_x, props IS NULL AS missing FROM events")
-def json_props(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.x").isNull().alias("no_x"), F.col("props").isNull().alias("missing"))
+JSON_KEYS = "list_sort(json_keys(p))"
 
 
-@query()
+@query(f"""WITH e AS (SELECT event_id, props::JSON AS p, event_type AS t FROM events)
+SELECT event_id, '{{' || array_to_string(list_transform({JSON_KEYS}, lambda k: '"' || k || '":' || json_extract(p, '$."' || k || '"')::VARCHAR), ',') || '}}' AS props,
+'{{"a":{{"w":"' || t || '","x":"l1\\nl2"}},"b":"12","c":[1,' || event_id || ',0.5],"d":"\\u003c\\u0026\\u003e","e":null,"f":true}}' AS nested FROM e""")
 def json_props_text(spark, sf):
-    return table(spark, sf, "events").select("event_id", C.json(F.col("props")).alias("props"))
+    return table(spark, sf, "events").select("event_id", C.json(F.col("props")).alias("props"), C.json(_nested()).alias("nested"))
+
+
+def _nested():
+    """An object whose members are out of order, of all types, with characters that are escaped."""
+    return F.concat(F.lit('{"f":true, "e":null, "d":"<&>", "c":[1.0, '), F.col("event_id").cast("string"), F.lit(', 5e-1], "b":"12", "a":{"x":"l1\\nl2", "w":"'), F.col("event_type"), F.lit('"}}'))
 
 
 @query("SELECT event_id, base64(encode(event_type)) AS content FROM events")
@@ -496,14 +502,12 @@ def conv_timestamptz(spark, sf):
 
 @query("SELECT event_id, strftime(ts, '%H:%M:%S.%f') AS v FROM events")
 def conv_time(spark, sf):
-    t = F.col("ts").cast("timestamp")
-    return table(spark, sf, "events").select("event_id", C.time(F.pmod(F.unix_micros(t), F.lit(86_400_000_000))).alias("v"))
+    return table(spark, sf, "events").select("event_id", C.time(C.micros_of_day(F.col("ts"))).alias("v"))
 
 
 @query("SELECT event_id, strftime(ts + INTERVAL 7 HOUR + INTERVAL 30 MINUTE, '%H:%M:%S.%f') AS v FROM events")
 def conv_timetz(spark, sf):
-    t = F.col("ts").cast("timestamp")
-    return table(spark, sf, "events").select("event_id", C.timetz(F.pmod(F.unix_micros(t), F.lit(86_400_000_000)), F.lit(27_000)).alias("v"))
+    return table(spark, sf, "events").select("event_id", C.timetz(C.micros_of_day(F.col("ts")), F.lit(27_000)).alias("v"))
 
 
 @query("SELECT n_nationkey, n_nationkey * 1000 + n_regionkey * 86400000000 + round(n_nationkey * (365.25::DOUBLE / 12) * 86400000000.0::DOUBLE)::BIGINT AS v FROM nation")
@@ -553,8 +557,7 @@ def _range(lo, hi, lo_inc=False, hi_inc=False):
 def conv_int_ranges(spark, sf):
     k = F.col("n_nationkey")
     free = F.struct(F.lit(None).cast("int").alias("lo"), (k + 10).alias("hi"), F.lit(False).alias("lo_inc"), F.lit(True).alias("hi_inc"), F.lit(False).alias("is_empty"))
-    shown = F.regexp_replace(C.int_range(free), r"^\[,", "(,")
-    return table(spark, sf, "nation").select("n_nationkey", C.int_range(_range(k, k + 10, False, True)).alias("v"), shown.alias("unbounded"), C.int_range(_range(F.lit(1), k, True, True)).alias("maybe_empty"))
+    return table(spark, sf, "nation").select("n_nationkey", C.int_range(_range(k, k + 10, False, True)).alias("v"), C.int_range(free).alias("unbounded"), C.int_range(_range(F.lit(1), k, True, True)).alias("maybe_empty"))
 
 
 @query("SELECT n_nationkey, '(' || (n_nationkey + 1) || '.5,200000.2]' AS v FROM nation")
@@ -609,6 +612,28 @@ def conv_geometry(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", C.ewkb(raw).alias("g")).select("n_nationkey", "g.wkb", "g.srid")
 
 
+def _hex_xy(*points):
+    """Little-endian hex of points with whole coordinates from -1 to 2."""
+    of = {-1: "000000000000F0BF", 0: "0" * 16, 1: "000000000000F03F", 2: "0000000000000040"}
+    return "".join(of[x] for p in points for x in p)
+
+
+#: EWKB as hex and WKB as hex of a line, a polygon with a hole, a multi point, a collection, and a line with Z.
+SHAPES = [
+    ("0102000000" + "02000000" + _hex_xy((1, 2), (0, -1)), "0000000002" + "00000002" + "3FF0000000000000" + "4000000000000000" + "0" * 16 + "BFF0000000000000"),
+    ("0103000020E6100000" + "01000000" + "04000000" + _hex_xy((0, 0), (1, 0), (1, 1), (0, 0)), "0000000003" + "00000001" + "00000004" + "0" * 32 + "3FF0000000000000" + "0" * 16 + "3FF0000000000000" * 2 + "0" * 32),
+    ("0104000000" + "02000000" + ("0101000000" + _hex_xy((1, 1))) + ("0101000000" + _hex_xy((2, 0))), "0000000004" + "00000002" + "0000000001" + "3FF0000000000000" * 2 + "0000000001" + "4000000000000000" + "0" * 16),
+    ("0107000020E6100000" + "01000000" + "0102000000" + "01000000" + _hex_xy((2, 2)), "0000000007" + "00000001" + "0000000002" + "00000001" + "4000000000000000" * 2),
+    ("0102000080" + "01000000" + _hex_xy((1, 2, -1)), "00000003EA" + "00000001" + "3FF0000000000000" + "4000000000000000" + "BFF0000000000000"),
+]
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 5 " + " ".join(f"WHEN {i} THEN '{wkb}'" for i, (_, wkb) in enumerate(SHAPES)) + " END AS wkb, CASE WHEN n_nationkey % 5 IN (1, 3) THEN 4326 ELSE 0 END AS srid FROM nation")
+def conv_geometry_shapes(spark, sf):
+    raw = F.unhex(F.get(F.array(*[F.lit(e) for e, _ in SHAPES]), (F.col("n_nationkey") % 5).cast("int")))
+    return table(spark, sf, "nation").select("n_nationkey", C.ewkb(raw).alias("g")).select("n_nationkey", F.hex(F.unbase64("g.wkb")).alias("wkb"), "g.srid")
+
+
 @query("SELECT n_nationkey, (n_nationkey + 9) * 10000 + n_regionkey AS v FROM nation")
 def version_parse(spark, sf):
     text = F.concat((F.col("n_nationkey") + 9).cast("string"), F.lit("."), F.col("n_regionkey").cast("string"), F.lit(" (Debian)"))
@@ -628,7 +653,7 @@ def replay_end_to_end(spark, sf):
     log = replication.without_marked_decompression(log, F.col("op") == "c").filter("lsn >= 1600")
     chunks = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.lower("r_name").alias("t"))
     log = log.join(chunks, F.col("key") % 25 == F.col("n_nationkey"))
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = C.timestamp(F.col("ts"))
     src = source(F.col("server_wal_end"), ms, F.col("op") == "r", F.lit("tsdb"), F.lit("tsdb"), F.col("t"), F.col("xid"))
     image = lambda v: F.struct(F.col("key").alias("id"), v.alias("val"))
     events = log.select("event_id", "op", "t", F.struct(F.col("key").alias("id")).alias("key"), payload(F.col("op"), image(F.col("before_value")), image(F.col("value")), src, ms).alias("value"))
@@ -636,3 +661,6 @@ def replay_end_to_end(spark, sf):
     events = replication.with_tombstones(events)
     v = F.col("value")
     return events.select("event_id", "tombstone", topic("pub", F.lit("tsdb"), F.col("t")).alias("topic"), F.col("key.id").alias("key_id"), "op", v["before"]["val"].alias("before_val"), v["after"]["val"].alias("after_val"), v["source"]["lsn"].alias("source_lsn"), v["ts_ms"].alias("ts_ms"))
+
+
+from tidelog.plans import catalog_queries, envelope_queries  # noqa: E402, F401  (they add theirs)

@@ -19,10 +19,20 @@ from pyspark.sql import functions as F
 RETRIES = 8
 
 
-def records(events: DataFrame, prefix: str, key: Column, schema: Column, name: Column, value: Column) -> DataFrame:
-    """topic, key and value as JSON, explicit nulls kept."""
-    text = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
-    return events.select(F.concat_ws(".", F.lit(prefix), schema, name).alias("topic"), text(key).alias("key"), text(value).alias("value"), "lsn")
+def json_text(c: Column) -> Column:
+    """JSON with explicit nulls."""
+    return F.to_json(c, {"ignoreNullFields": "false"})
+
+
+def records(
+    events: DataFrame, prefix: str, key: Column, schema: Column, name: Column, value: Column, *, key_schema: dict | None = None, value_schema: dict | None = None, ts_ms: Column | None = None, dedup_id: Column | None = None,
+) -> DataFrame:
+    """topic, key and value as JSON (in an envelope where a schema is given), lsn, and ts_ms and dedup_id where they are given."""
+    from tidelog.schema import enveloped
+
+    text = lambda c, s: json_text(c) if s is None else enveloped(s, c)
+    more = [c.alias(n) for n, c in (("ts_ms", ts_ms), ("dedup_id", dedup_id)) if c is not None]
+    return events.select(F.concat_ws(".", F.lit(prefix), schema, name).alias("topic"), text(key, key_schema).alias("key"), text(value, value_schema).alias("value"), "lsn", *more)
 
 
 def sqs_dedup_id(lsn: Column, xid: Column, body: Column) -> Column:
@@ -44,14 +54,14 @@ def with_retry(call: Callable[[], None], retries: int = RETRIES, first_wait: flo
 
 
 class Sink:
-    def emit(self, topic: str, key: str | None, value: str, ts_ms: int | None = None) -> None:
+    def emit(self, topic: str, key: str | None, value: str, ts_ms: int | None = None, dedup_id: str | None = None) -> None:
         raise NotImplementedError
 
 
 class StdoutSink(Sink):
     """The payload as a line of JSON; no key, no schema."""
 
-    def emit(self, topic, key, value, ts_ms=None):
+    def emit(self, topic, key, value, ts_ms=None, dedup_id=None):
         sys.stdout.write(json.dumps(json.loads(value).get("payload", json.loads(value))) + "\n")
 
 
@@ -61,7 +71,7 @@ class ClientSink(Sink):
     def __init__(self, send):
         self.send = send
 
-    def emit(self, topic, key, value, ts_ms=None):
+    def emit(self, topic, key, value, ts_ms=None, dedup_id=None):
         self.send(topic, key, value, ts_ms)
 
 
@@ -69,7 +79,7 @@ class NatsSink(Sink):
     def __init__(self, publish):
         self.publish = publish
 
-    def emit(self, topic, key, value, ts_ms=None):
+    def emit(self, topic, key, value, ts_ms=None, dedup_id=None):
         self.publish(subject=topic, headers={"key": key}, data=value)
 
 
@@ -77,7 +87,7 @@ class RedisSink(Sink):
     def __init__(self, xadd):
         self.xadd = xadd
 
-    def emit(self, topic, key, value, ts_ms=None):
+    def emit(self, topic, key, value, ts_ms=None, dedup_id=None):
         self.xadd(topic, {"key": key, "envelope": value})
 
 
@@ -87,7 +97,7 @@ class KinesisSink(Sink):
     def __init__(self, put, stream: str):
         self.put, self.stream = put, stream
 
-    def emit(self, topic, key, value, ts_ms=None):
+    def emit(self, topic, key, value, ts_ms=None, dedup_id=None):
         self.put(StreamName=self.stream, PartitionKey=topic, Data=value)
 
 
@@ -107,7 +117,7 @@ class HttpSink(Sink):
         elif auth and auth[0] == "header":
             self.headers[auth[1]] = auth[2]
 
-    def emit(self, topic, key, value, ts_ms=None):
+    def emit(self, topic, key, value, ts_ms=None, dedup_id=None):
         with self.opener(urllib.request.Request(self.url, value.encode(), self.headers)) as r:
             if not 200 <= r.status < 300:
                 raise OSError(f"status {r.status}")
@@ -124,9 +134,11 @@ def register(name: str, factory: Callable[..., Sink]) -> bool:
 def write_batch(batch: DataFrame, make_sink: Callable[[], Sink], retries: int = RETRIES) -> None:
     """For foreachBatch: each topic in order of position."""
 
+    more = [c for c in ("ts_ms", "dedup_id") if c in batch.columns]
+
     def each(rows):
         sink = make_sink()
         for r in rows:
-            with_retry(lambda r=r: sink.emit(r["topic"], r["key"], r["value"]), retries)
+            with_retry(lambda r=r: sink.emit(r["topic"], r["key"], r["value"], **{c: r[c] for c in more}), retries)
 
     batch.repartition("topic").sortWithinPartitions("topic", "lsn").foreachPartition(each)
