@@ -1,8 +1,11 @@
 """The sinks' filter language, compiled to a Column.
 
-Member access, literals, == != < <= > >=, && || ! (and, or, not), + - * / %, in, contains,
-startsWith, endsWith, matches, ?: and ??. Anything else is an error, as is a condition that is not
-boolean. Names reach into struct columns (`value.after.id`).
+Member access, literals, == != < <= > >=, && || ! (and, or, not), + - * / % **, in (lists and ranges
+like 1..5), contains, startsWith, endsWith, matches, ?: and ??; the calls len (of text), lower, upper, trim, abs,
+ceil, floor, round, int, float, string, min, max; the predicates all, any, none, one, count and filter
+and map over arrays, with # for the element. Anything else is an error, as is a condition that is not
+boolean. Names reach into struct columns (`value.after.id`, `key.id`); `keySchema` and `valueSchema`
+reach into the descriptors, which are known when the condition is compiled.
 """
 
 from __future__ import annotations
@@ -15,9 +18,16 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.tablefilter import TableFilter
 
-_TOKEN = re.compile(r"""\s*(?:(?P<num>\d+(?:\.\d+)?)|(?P<str>"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')|(?P<name>[A-Za-z_]\w*)|(?P<op>&&|\|\||==|!=|<=|>=|\?\?|\?\.|[-+*/%<>!?:.,()\[\]]))""")
+_TOKEN = re.compile(r"""\s*(?:(?P<num>\d+(?:\.\d+)?(?!\.?\d))|(?P<str>"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')|(?P<name>[A-Za-z_]\w*)|(?P<op>&&|\|\||==|!=|<=|>=|\?\?|\?\.|\.\.|\*\*|[-+*/%<>!?:.,()\[\]{}\#]))""")
 #: Binary operators by how tightly they bind.
-_LEVELS = (("||", "or"), ("&&", "and"), ("==", "!=", "<", "<=", ">", ">=", "in", "contains", "startsWith", "endsWith", "matches"), ("+", "-"), ("*", "/", "%"))
+_CALLS = {
+    "len": F.length, "lower": F.lower, "upper": F.upper, "trim": F.trim, "abs": F.abs, "ceil": F.ceil, "floor": F.floor,
+    "round": F.round, "int": lambda x: x.cast("bigint"), "float": lambda x: x.cast("double"), "string": lambda x: x.cast("string"), "min": lambda *x: F.least(*x) if len(x) > 1 else x[0], "max": lambda *x: F.greatest(*x) if len(x) > 1 else x[0],
+}
+_PREDICATES = {
+    "all": F.forall, "any": F.exists, "none": lambda a, f: ~F.exists(a, f), "one": lambda a, f: F.size(F.filter(a, f)) == 1, "count": lambda a, f: F.size(F.filter(a, f)), "filter": F.filter, "map": F.transform,
+}
+_LEVELS = (("||", "or"), ("&&", "and"), ("==", "!=", "<", "<=", ">", ">=", "in", "contains", "startsWith", "endsWith", "matches"), ("..",), ("+", "-"), ("*", "/", "%"), ("**",))
 
 
 class FilterError(ValueError):
@@ -35,9 +45,13 @@ def _tokens(text: str) -> list[tuple[str, str]]:
     return out
 
 
+class _Range(tuple):
+    """Both ends of a range."""
+
+
 class _Parser:
-    def __init__(self, text: str):
-        self.toks, self.at = _tokens(text), 0
+    def __init__(self, text: str, schemas: dict[str, dict] | None = None):
+        self.toks, self.at, self.schemas, self.elements = _tokens(text), 0, schemas or {}, []
 
     def peek(self, *values: str) -> bool:
         return self.at < len(self.toks) and self.toks[self.at][0] in ("op", "name") and self.toks[self.at][1] in values
@@ -74,29 +88,65 @@ class _Parser:
             if self.peek("not") and self.at + 1 < len(self.toks) and self.toks[self.at + 1][1] == "in" and k == 2:
                 self.take("not")
                 self.take("in")
-                x = ~x.isin(*self.items())
+                x = ~self.within(x)
             elif self.peek(*_LEVELS[k]):
                 op = self.take(*_LEVELS[k])
-                x = x.isin(*self.items()) if op == "in" else self.binary(op, x, self.level(k + 1))
+                x = self.within(x) if op == "in" else self.binary(op, x, self.level(k + 1))
             else:
                 return x
 
+    def within(self, x: Column) -> Column:
+        if self.peek("["):
+            return x.isin(*self.items())
+        found = self.level(3)
+        return x.between(*found) if isinstance(found, _Range) else F.array_contains(found, x)
+
+    def arguments(self, close: str) -> list:
+        out = []
+        while not self.peek(close):
+            out.append(self.choice())
+            if not self.peek(close):
+                self.take(",")
+        self.take(close)
+        return out
+
+    def call(self, name: str):
+        """name(...): a function of values, or a predicate over an array's elements."""
+        self.take("(")
+        if name in _PREDICATES:
+            array = self.choice()
+            self.take(",")
+            self.take("{")
+            at, made = self.at, []
+
+            def body(x: Column) -> Column:  # parsed anew with the element in place of #
+                self.at = at
+                self.elements.append(x)
+                made.append(self.choice())
+                self.elements.pop()
+                return made[-1]
+
+            found = _PREDICATES[name](array, body)
+            self.take("}")
+            self.take(")")
+            return found
+        if name not in _CALLS:
+            raise FilterError(f"unsupported call: {name}")
+        try:
+            return _CALLS[name](*self.arguments(")"))
+        except TypeError as e:
+            raise FilterError(f"{name}: wrong number of arguments") from e
+
     def binary(self, op: str, a: Column, b: Column) -> Column:
         return {
             "||": lambda: a | b, "or": lambda: a | b, "&&": lambda: a & b, "and": lambda: a & b, "==": lambda: a.eqNullSafe(b), "!=": lambda: ~a.eqNullSafe(b), "<": lambda: a < b,
             "<=": lambda: a <= b, ">": lambda: a > b, ">=": lambda: a >= b, "contains": lambda: a.contains(b), "startsWith": lambda: a.startswith(b), "endsWith": lambda: a.endswith(b),
-            "matches": lambda: F.regexp_like(a, b), "+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "/": lambda: a / b, "%": lambda: a % b,
+            "matches": lambda: F.regexp_like(a, b), "+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "/": lambda: a / b, "%": lambda: a % b, "**": lambda: F.pow(a, b), "..": lambda: _Range((a, b)),
         }[op]()
 
     def items(self) -> list[Column]:
         self.take("[")
-        out = []
-        while not self.peek("]"):
-            out.append(self.choice())
-            if not self.peek("]"):
-                self.take(",")
-        self.take("]")
-        return out
+        return self.arguments("]")
 
     def unary(self):
         if self.peek("!", "not"):
@@ -118,26 +168,52 @@ class _Parser:
             return F.lit(float(text) if "." in text else int(text))
         if kind == "str":
             return F.lit(re.sub(r"\\(.)", r"\1", text[1:-1]))
+        if text == "#" and self.elements:
+            return self.member(self.elements[-1])
         if kind != "name":
             raise FilterError(f"unsupported: {text}")
         if text in ("true", "false", "nil"):
             return F.lit({"true": True, "false": False, "nil": None}[text])
-        path = [text]
-        while self.peek(".", "?.", "["):
-            if self.take(".", "?.", "[") == "[":
-                path.append(re.sub(r"^['\"]|['\"]$", "", self.toks[self.at][1]))
-                self.at += 1
-                self.take("]")
-            else:
-                path.append(self.toks[self.at][1])
-                self.at += 1
+        if self.peek("("):
+            return self.call(text)
+        path = [text, *self.path()]
         if self.peek("("):
             raise FilterError(f"unsupported call: {'.'.join(path)}")
+        if text in self.schemas:
+            return self.described(path)
         return F.col(".".join(f"`{p}`" for p in path))
 
+    def path(self) -> list[str]:
+        out = []
+        while self.peek(".", "?.", "["):
+            bracket = self.take(".", "?.", "[") == "["
+            out.append(re.sub(r"^['\"]|['\"]$", "", self.toks[self.at][1]))
+            self.at += 1
+            if bracket:
+                self.take("]")
+        return out
+
+    def member(self, x: Column) -> Column:
+        for p in self.path():
+            x = x[p]
+        return x
+
+    def described(self, path: list[str]):
+        """A descriptor's part as a literal: fields by their place, members by name; nil where there is none."""
+        at = self.schemas[path[0]]
+        for p in path[1:]:
+            at = at.get(p) if isinstance(at, dict) else at[int(p)] if isinstance(at, list) and p.isdigit() and int(p) < len(at) else None
+        if isinstance(at, dict):
+            raise FilterError(f"{'.'.join(path)} is no value")
+        return F.array(*[F.lit(str(x)) for x in at]) if isinstance(at, list) else F.lit(at)
+
 
-def compile_condition(condition: str) -> Column:
-    return _Parser(condition).whole()
+def compile_condition(condition: str, schemas: dict[str, dict] | None = None) -> Column:
+    """The condition as a Column; schemas: the descriptors that `keySchema` and `valueSchema` stand for."""
+    found = _Parser(condition, schemas).whole()
+    if isinstance(found, _Range):
+        raise FilterError("a range is no condition")
+    return found
 
 
 @dataclass
@@ -158,11 +234,11 @@ def checked(df: DataFrame, condition: Column) -> Column:
     return condition
 
 
-def apply_filters(df: DataFrame, filters: list[SinkFilter], schema: Column, name: Column) -> DataFrame:
+def apply_filters(df: DataFrame, filters: list[SinkFilter], schema: Column, name: Column, schemas: dict[str, dict] | None = None) -> DataFrame:
     """Events that all filters for their table accept; message events pass unasked. No filters accept all."""
     passed = F.lit(True)
     for f in filters:
         scope = TableFilter(f.excludes, f.includes, not (f.strict_includes and f.includes)).column(schema, name)
-        verdict = F.coalesce(checked(df, compile_condition(f.condition)), F.lit(False)) == F.lit(f.default)
+        verdict = F.coalesce(checked(df, compile_condition(f.condition, schemas)), F.lit(False)) == F.lit(f.default)
         passed = passed & F.when(scope, verdict).otherwise(F.lit(True))
     return df.filter(passed | (F.col("value.op") == "m"))

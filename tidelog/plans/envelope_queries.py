@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidelog import schema, sinks
 from tidelog.functions import convert as C
 from tidelog.model import table, wal
+from tidelog.operators import exprfilter
 from tidelog.operators.catalog import ColumnDef
 from tidelog.plans.queries import WAL, _events, compression_transitions, query
 
@@ -91,6 +92,15 @@ def _lsn():
     return lsn_text(F.col("lsn"))
 
 
+@query(WAL + "SELECT event_id, op FROM wal WHERE (key BETWEEN 3 AND 12 OR length('tsdb') = 4 AND key ** 2 > 400) AND upper(op) <> 'D'")
+def sink_filter_calls(spark, sf):
+    """Ranges, calls, powers, members of the key and of its descriptor."""
+    events = _events(spark, sf).withColumn("key", F.struct(F.col("key").alias("id")))
+    schemas = {"keySchema": schema.key_schema("pub", "tsdb", "events", EVENTS), "valueSchema": schema.envelope_schema("pub", "tsdb", "events", EVENTS)}
+    condition = 'keySchema.fields[0].name == "id" && valueSchema.name endsWith ".Envelope" && (key.id in 3..12 || len(value.source.db) == 4 && key.id ** 2 > 400) && upper(value.op) != "D"'
+    return exprfilter.apply_filters(events, [exprfilter.SinkFilter(condition)], F.lit("tsdb"), F.lit("events"), schemas).select("event_id", "op")
+
+
 @query("""SELECT t AS type, k AS kind FROM (VALUES ('int2', 'int16'), ('int4', 'int32'), ('int8', 'int64'), ('float4', 'float32'), ('float8', 'float64'), ('bool', 'boolean'), ('text', 'string'), ('timestamptz', 'string'),
 ('numeric', 'float64'), ('date', 'int32'), ('hstore', 'map'), ('geometry', 'struct'), ('int4[]', 'array'), ('uuid', 'string')) v(t, k)""")
 def type_schemas(spark, sf):

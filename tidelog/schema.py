@@ -29,6 +29,10 @@ TYPE_NAMES = {
 #: Descriptor types of Spark's simple types.
 OF_SPARK = {"smallint": "int16", "int": "int32", "bigint": "int64", "float": "float32", "double": "float64", "boolean": "boolean", "string": "string", "binary": "bytes"}
 
+SPARK_TYPES = {
+    "int16": T.ShortType(), "int32": T.IntegerType(), "int64": T.LongType(), "float32": T.FloatType(), "float64": T.DoubleType(), "boolean": T.BooleanType(), "string": T.StringType(), "bytes": T.BinaryType(),
+}
+
 
 def descriptor(kind: str, *, fields: list[dict] | None = None, keys: dict | None = None, values: dict | None = None, field: str = "", name: str = "", index: int = -1, optional: bool = False, default: str | None = None, **parameters) -> dict:
     """A descriptor; what is not set is left out. A default is what its literal reads as: boolean, integer, float or text."""
@@ -56,9 +60,8 @@ def type_schema(kind: str, *, enum: list[str] | None = None, composite: list[Col
         return descriptor("struct", fields=[descriptor("string", field="wkb", index=0), descriptor("int32", field="srid", index=1)], **more)
     if kind == "hstore":
         return descriptor("map", keys=descriptor("string"), values=descriptor("string", optional=True), **more)
-    spark = T._parse_datatype_string(TYPES[kind][0]).simpleString()
     named = {"name": TYPE_NAMES[kind]} if kind in TYPE_NAMES else {}
-    return descriptor(OF_SPARK[spark], **named, **more)
+    return descriptor(OF_SPARK[TYPES[kind][0]], **named, **more)
 
 
 def column_schema(c: ColumnDef, index: int = -1) -> dict:
@@ -155,4 +158,4 @@ def spark_schema(schema: dict) -> T.DataType:
         return T.ArrayType(spark_schema(schema["valueSchema"]))
     if kind == "map":
         return T.MapType(spark_schema(schema["keySchema"]), spark_schema(schema["valueSchema"]))
-    return T._parse_datatype_string({v: k for k, v in OF_SPARK.items()}[kind])
+    return SPARK_TYPES[kind]
