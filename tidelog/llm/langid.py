@@ -30,6 +30,7 @@ from tidelog.llm.words import MARK, SLICE_BYTES, Trie, WordCache, code_points, d
 SCALE = 16.0  #: keeps forward values near 1: every character counts this much more
 UNKNOWN = 1e-7
 LETTERS = 40  #: longer words are summed by themselves, and are not learned from
+FIT_WORDS = 4000  #: words whose lattice the driver holds at once while it fits
 MOST_LANGS = 1000  #: the most frequent values of the language column are learned
 
 
@@ -165,9 +166,9 @@ def fit(counts: dict[str, dict[str, int]], pieces: tuple[str, ...], turns: int =
     p *= (0.2 ** np.array([len(x) for x in pieces] + [1]))[:, None] * 5  # short pieces first; any start will do
     for _ in range(turns):
         got = np.full_like(p, 0.05)
-        for i in range(0, len(words), 20_000):
-            lat = Lattice(trie, words[i : i + 20_000], len(pieces))
-            got += lat.expected(p, n[i : i + 20_000])
+        for i in range(0, len(words), FIT_WORDS):
+            lat = Lattice(trie, words[i : i + FIT_WORDS], len(pieces))
+            got += lat.expected(p, n[i : i + FIT_WORDS])
         got[-1] = 0
         p = got / got.sum(axis=0)
         p[-1] = UNKNOWN
