@@ -31,7 +31,7 @@ def _star(e: DataFrame, large: bool, salts: int) -> DataFrame:
         out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v"))
     else:
         out = joined.select(F.explode(F.array(F.struct(F.col("u"), F.col("_m").alias("v")), F.struct(F.col("v").alias("u"), F.col("_m").alias("v")))).alias("x")).select("x.*")
-    return out.filter("u <> v").distinct()
+    return out.filter("u <> v")
 
 
 def _is_forest_of_stars(e: DataFrame) -> bool:
@@ -47,6 +47,6 @@ def components(edges: DataFrame) -> DataFrame:
     e, path = materialised(e, "edges")
     while not _is_forest_of_stars(e):
         old, salts = path, max(LEAST_SALTS, e.count() // EDGES_A_SALT)
-        e, path = materialised(_star(_star(e, True, salts), False, salts), "edges")
+        e, path = materialised(_star(_star(e, True, salts), False, salts).distinct(), "edges")  # a large star has no more edges than came in
         discard(spark, old)
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
