@@ -271,7 +271,7 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
     for tok, r in ranks.items():
         pieces[r] = tok
     words, flat, offsets = _cache(whole.select("t"), path, pattern, cached, sample_rows, byte_ids) if cached else ([], np.zeros(0, np.uint32), np.zeros(1, np.int64))
-    listed = spark.sparkContext.broadcast(words)
+    listed = spark.sparkContext.broadcast(pa.array(words, pa.string()))  # a list is several times as large while it is packed
     known = spark.sparkContext.broadcast((flat, offsets, np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])))
 
     del words, flat, offsets, pieces
@@ -279,7 +279,7 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
 
     def split(batches):
         find, cut = splitter(pattern), None
-        fixed = listed.value
+        fixed = listed.value.to_pylist()
         known_words: defaultdict[str | bytes | int, int] = defaultdict()
 
         def forget():
