@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import bound_batches, discard, materialise, materialised, text_slices
+from tidelog.llm.common import bound_batches, discard, give_back, materialise, materialised, text_slices
 from tidelog.llm.components import components
 from tidelog.llm.words import SLICE_BYTES, distinct_words
 
@@ -110,6 +110,7 @@ def sketch(df: DataFrame, id_col: str, text: str, carry: bool = False) -> DataFr
                 nodes.append(hashlib.blake2b(h[e - n : e].tobytes(), digest_size=16).digest() if n else None)
                 sigs.append(next(sig).tobytes() if n else None)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.binary()), pa.array(per, pa.int64()), pa.array(sigs, pa.binary()), *part.columns[3:]], names=["text", "id", "rid", "node", "n_shingles", "sig", *part.schema.names[3:]])
+        give_back()
 
     bound_batches(df.sparkSession)
     rows = df.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{id_col}`").cast("long").alias("id"), F.monotonically_increasing_id().alias("rid"), *([F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text]).alias("_row")] if carry else []))
@@ -248,6 +249,8 @@ def verify(members: DataFrame, similarity: float) -> DataFrame:
                     key, held = k, []
                 held.append(r)
         yield from flush()
+        held.clear()
+        give_back()
 
     placed = members.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
     return placed.select("comp", "i", "j", "side", "node", "copies", "text").mapInArrow(run, "node binary, links long, root binary")
