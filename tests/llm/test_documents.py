@@ -57,6 +57,16 @@ def test_bpe(spark, awkward, nothing):
     assert bpe.encode(awkward, "text", RANKS, P.PATTERN, cached=0).columns[-3:] == ["_n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_bpe_in_small_blocks(spark):
+    """Blocks and Arrow batches stay small beside what a task holds of them, and texts over many blocks keep their ids."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    rows = [(i, " ".join(f"w{(i * 7919 + k) % 50_021} the" for k in range(60_000))) for i in range(6)]
+    assert sum(len(t) for _, t in rows) > 5 * bpe.BLOCK_BYTES
+    assert check_bpe(own.createDataFrame(rows, "doc_id int, text string").coalesce(1)) == 6
+    assert bpe.BLOCK_BYTES <= 1 << 20 and int(own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 2 << 20
+
+
 def test_bpe_of_long_words(spark):
     import random
     import time

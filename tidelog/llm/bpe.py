@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 
 from tidelog.llm.common import bound_batches, bound_plan_strings, free_name, give_back, let, materialise, ragged, text_slices
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19  #: a task holds several forms of a block at a time: its Arrow buffers twice, Spark's rows, both Python workers
+BATCH_BLOCKS = 4  #: blocks' worth of text in an Arrow batch
 SHIFT = 17  #: ids are below 2**17
 RANK_SHIFT = 41  #: offsets in a word are below 2**24
 NONE = 1 << SHIFT
@@ -257,7 +258,7 @@ def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int
 def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool = False, with_decoded: bool = False, cached: int = 400_000, sample_rows: int = 20_000) -> DataFrame:
     """df's other columns, then n_tokens, ids_sha256, decoded_sha256 (with_ids: ids array<int>; with_decoded: decoded binary)."""
     spark = df.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, BATCH_BLOCKS * BLOCK_BYTES)
     bound_plan_strings(spark)
     ranks = load_ranks(path)
     byte_ids = byte_table(ranks)

@@ -60,9 +60,9 @@ def discard(spark: SparkSession, *paths: str) -> None:
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
 
 
-def bound_batches(spark: SparkSession) -> None:
+def bound_batches(spark: SparkSession, most_bytes: int = BATCH_BYTES) -> None:
     """Lowers the session's limits of Arrow batches where they are higher."""
-    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
         now = re.sub(r"\D", "", str(spark.conf.get(key)))
         if not now or int(now) > most or int(now) <= 0:
             spark.conf.set(key, str(most))
