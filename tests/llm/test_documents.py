@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -319,3 +321,50 @@ def test_components_of_hubs_and_chains(spark):
     edges = [(0, k) for k in range(1, 3000)] + [(k, k + 1) for k in range(10_000, 10_300)] + [(20_000, 20_000)]
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == dict.fromkeys(range(3000), 0) | dict.fromkeys(range(10_000, 10_301), 10_000)
+
+
+def test_conversions_load_no_pandas():
+    """pandas takes 29 MB of each Python worker, and workers stay: the conversions of the pipeline's stages work without it."""
+    code = """
+import sys
+import numpy as np, pyarrow as pa
+from tidelog.llm.common import list_lengths, to_arrow, to_numpy
+from tidelog.llm.words import distinct_words
+from tidelog.llm import bpe
+for kind, a in ((pa.int32(), np.arange(9)), (pa.int64(), np.arange(0)), (pa.float64(), np.array([0.5, np.nan])), (pa.bool_(), np.arange(11) % 3 == 0), (pa.bool_(), np.zeros(0, bool))):
+    got = to_arrow(a, kind)
+    got.validate(full=True)
+    assert got.type == kind and got.null_count == 0 and repr(to_numpy(got).tolist()) == repr(a.tolist()) and repr(got.to_pylist()) == repr(a.tolist())
+    assert repr(to_numpy(got.slice(1)).tolist()) == repr(a[1:].tolist())
+for kind, a in ((pa.string(), ["é", None, "", "a\\0b"]), (pa.string(), []), (pa.binary(), [None, b"", b"xy"]), (pa.binary(), [None])):
+    got = to_arrow(a, kind)
+    got.validate(full=True)
+    assert got.to_pylist() == a and got.null_count == a.count(None)
+assert list_lengths(pa.ListArray.from_buffers(pa.list_(pa.int32()), 0, [None, pa.py_buffer(b"")], children=[to_arrow(np.arange(0), pa.int32())])).tolist() == []
+words, refs, per = distinct_words(to_arrow(["x", None, " b  a\\tb ", "", "a"], pa.string()).slice(1))
+assert ([words[i] for i in refs], per.tolist()) == (["b", "a", "b", "a"], [0, 3, 0, 1])
+assert bpe._byte_lists(["ab", 7], np.zeros((256, 257), np.int64)).to_pylist() == [[0, 1 << 17], [1 << 58 | 7]]
+assert "pandas" not in sys.modules
+"""
+    subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_stages_load_no_pandas():
+    code = """
+import sys
+import pyarrow as pa
+from pyspark.sql import SparkSession
+import corpus_pipeline
+from tidelog.llm.common import to_arrow
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+sf = "/root/testdata/sf0.001"
+docs = spark.read.parquet(sf + "/documents.parquet")
+for name, stage in corpus_pipeline.STAGES:
+    assert stage(spark, docs, sf).collect(), name
+def loaded(batches):
+    list(batches)
+    yield pa.RecordBatch.from_arrays([to_arrow([name for name in ("pandas", "tidelog.llm.bpe") if name in sys.modules], pa.string())], names=["x"])
+found = {r[0] for r in spark.range(8).repartition(8).mapInArrow(loaded, "x string").collect()}
+assert found == {"tidelog.llm.bpe"}, found
+"""
+    subprocess.run([sys.executable, "-c", code], check=True)

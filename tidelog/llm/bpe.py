@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import bound_batches, bound_plan_strings, free_name, give_back, let, materialise, ragged, text_slices
+from tidelog.llm.common import bound_batches, bound_plan_strings, free_name, give_back, let, list_lengths, materialise, ragged, text_slices, to_arrow, to_numpy
 
 BLOCK_BYTES = 1 << 19  #: a task holds several forms of a block at a time: its Arrow buffers twice, Spark's rows, both Python workers
 BATCH_BLOCKS = 4  #: blocks' worth of text in an Arrow batch
@@ -159,7 +159,7 @@ def _byte_lists(words: list[str | bytes | int], byte_ids: np.ndarray) -> pa.List
     whole = [(i, w) for i, w in enumerate(words) if isinstance(w, int)]
     if whole:
         places[offsets[[i for i, _ in whole]]] = NONE << RANK_SHIFT | np.array([w for _, w in whole], np.int64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(places))
+    return pa.ListArray.from_arrays(to_arrow(offsets, pa.int32()), to_arrow(places, pa.int64()))
 
 
 class Cutter:
@@ -233,9 +233,9 @@ def _cache(df: DataFrame, path: str, pattern: str, cached: int, sample_rows: int
                     if len(w) <= LONG:
                         n[w] = n.get(w, 0) + 1
             if len(n) > 500_000:
-                yield pa.RecordBatch.from_pydict({"w": list(n), "n": list(n.values())}, schema=pa.schema([("w", pa.string()), ("n", pa.int64())]))
+                yield pa.RecordBatch.from_arrays([to_arrow(list(n), pa.string()), to_arrow(np.fromiter(n.values(), np.int64, len(n)), pa.int64())], names=["w", "n"])
                 n = {}
-        yield pa.RecordBatch.from_pydict({"w": list(n), "n": list(n.values())}, schema=pa.schema([("w", pa.string()), ("n", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([to_arrow(list(n), pa.string()), to_arrow(np.fromiter(n.values(), np.int64, len(n)), pa.int64())], names=["w", "n"])
 
     counted = sample.select(df.columns[0]).mapInArrow(count_words, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
     top = counted.filter("n > 1").orderBy(F.desc("n"), "w").limit(cached)
@@ -303,9 +303,9 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
                 counts.append(len(ws))
                 refs.append(np.fromiter(map(known_words.__getitem__, ws), np.int32, len(ws)))
             new = list(islice(known_words, before, None))
-            rows = pa.StructArray.from_arrays([*part.columns[1:], pa.array(np.arange(part.num_rows, dtype=np.int32))], names=[f"c{i}" for i in range(part.num_columns - 1)] + ["row"])
-            one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            yield pa.RecordBatch.from_arrays([one(rows), one(pa.array(counts, pa.int32())), one(pa.array(np.concatenate(refs))), one(_byte_lists(new, byte_ids)), pa.array([before - len(fixed)], pa.int32())], names=["rows", "counts", "refs", "words", "before"])
+            rows = pa.StructArray.from_arrays([*part.columns[1:], to_arrow(np.arange(part.num_rows), pa.int32())], names=[f"c{i}" for i in range(part.num_columns - 1)] + ["row"])
+            one = lambda a: pa.ListArray.from_arrays(to_arrow(np.array([0, len(a)]), pa.int32()), a)
+            yield pa.RecordBatch.from_arrays([one(rows), one(to_arrow(np.array(counts), pa.int32())), one(to_arrow(np.concatenate(refs), pa.int32())), one(_byte_lists(new, byte_ids)), to_arrow(np.array([before - len(fixed)]), pa.int32())], names=["rows", "counts", "refs", "words", "before"])
         known_words.clear()
         give_back()
 
@@ -316,13 +316,13 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
         for batch in batches:
             for i in range(batch.num_rows):
                 rows, counts, refs, ids = (batch.column(k).slice(i, 1).flatten() for k in range(4))
-                own = ids.flatten().to_numpy().astype(np.uint32)
-                own_lens = np.diff(ids.offsets.to_numpy()).astype(np.int64)
+                own = to_numpy(ids.flatten()).astype(np.uint32)
+                own_lens = list_lengths(ids)
                 if not batch.column(4)[i].as_py():
                     pool, starts, lens = flat, starts0, lens0
                 starts = np.concatenate([starts, len(pool) + np.cumsum(own_lens) - own_lens])
                 lens, pool = np.concatenate([lens, own_lens]), np.concatenate([pool, own])
-                refs, counts = refs.to_numpy(), counts.to_numpy()
+                refs, counts = to_numpy(refs), to_numpy(counts)
                 ids_sha, dec_sha, n_tok, id_lists, raw = [], [], [], [], []
                 at = 0
                 for n in counts.tolist():
@@ -337,11 +337,11 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, *, with_ids: bool
                         id_lists.append(tokens.astype(np.int32))
                     if with_decoded:
                         raw.append(decoded)
-                cols = [rows.field(k) for k in range(rows.type.num_fields - 1)] + [pa.array(n_tok, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(dec_sha, pa.string())]
+                cols = [rows.field(k) for k in range(rows.type.num_fields - 1)] + [to_arrow(np.array(n_tok), pa.int64()), to_arrow(ids_sha, pa.string()), to_arrow(dec_sha, pa.string())]
                 if with_ids:
-                    cols.append(pa.array(id_lists, pa.list_(pa.int32())))
+                    cols.append(pa.ListArray.from_arrays(to_arrow(np.cumsum([0, *n_tok]), pa.int32()), to_arrow(np.concatenate(id_lists), pa.int32())))
                 if with_decoded:
-                    cols.append(pa.array(raw, pa.binary()))
+                    cols.append(to_arrow(raw, pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=[f"o{k}" for k in range(len(cols))])
         del pool, starts, lens
         give_back()

@@ -108,6 +108,37 @@ def text_slices(batches, column: int, most: int):
             start = stop
 
 
+#: pyarrow's own conversions from and to Python and numpy load pandas where it is installed, which takes 29 MB of each Python worker; to_arrow and to_numpy work on buffers.
+NUMBERS = {pa.int32(): np.int32, pa.int64(): np.int64, pa.float64(): np.float64}
+
+
+def to_arrow(values: np.ndarray | list, kind: pa.DataType) -> pa.Array:
+    """An array of numbers or booleans (from numpy), or of texts or bytes (a list; None: null)."""
+    if isinstance(values, np.ndarray):
+        own = np.packbits(values, bitorder="little") if pa.types.is_boolean(kind) else np.ascontiguousarray(values, NUMBERS[kind])
+        return pa.Array.from_buffers(kind, len(values), [None, pa.py_buffer(own)])
+    raw = [b"" if v is None else v.encode() if isinstance(v, str) else v for v in values]
+    ends = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum([len(v) for v in raw], out=ends[1:])
+    if ends[-1] >= 1 << 31:
+        raise ValueError("an Arrow array of texts holds less than 2 GB")
+    valid = pa.py_buffer(np.packbits([v is not None for v in values], bitorder="little")) if None in values else None
+    return pa.Array.from_buffers(kind, len(raw), [valid, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(b"".join(raw))])
+
+
+def to_numpy(a: pa.Array) -> np.ndarray:
+    """The numbers or booleans of an array without nulls."""
+    stop = a.offset + len(a)
+    if pa.types.is_boolean(a.type):
+        return np.unpackbits(np.frombuffer(a.buffers()[1], np.uint8), bitorder="little")[a.offset : stop].astype(bool) if len(a) else np.zeros(0, bool)
+    return np.frombuffer(a.buffers()[1], NUMBERS[a.type], stop)[a.offset :] if len(a) else np.zeros(0, NUMBERS[a.type])
+
+
+def list_lengths(a: pa.ListArray) -> np.ndarray:
+    """The length of each list (an array of none may come without offsets)."""
+    return np.diff(to_numpy(a.offsets)).astype(np.int64) if len(a) else np.zeros(0, np.int64)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions starts[i], starts[i]+1, ... lengths[i] of them, for all i in turn."""
     total = int(lengths.sum())

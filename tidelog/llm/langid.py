@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import bound_batches, free_name, give_back, text_slices
+from tidelog.llm.common import bound_batches, free_name, give_back, text_slices, to_arrow
 from tidelog.llm.words import MARK, SLICE_BYTES, Trie, WordCache, code_points, distinct_words
 
 SCALE = 16.0  #: keeps forward values near 1: every character counts this much more
@@ -191,12 +191,12 @@ def training_counts(df: DataFrame, id_col: str, text: str, lang: str, train: Col
             found: dict[tuple[str, str], int] = {}
             lang_of = part.column(1).to_pylist()
             for k in set(lang_of):
-                words, refs, _ = distinct_words(part.column(0).filter(pa.array([x == k for x in lang_of])))
+                words, refs, _ = distinct_words(part.column(0).filter(to_arrow(np.array([x == k for x in lang_of], bool), pa.bool_())))
                 for w, n in zip(words, np.bincount(refs, minlength=len(words)).tolist(), strict=True):
                     w = letters(w)
                     if 0 < len(w) <= LETTERS:
                         found[k, w] = found.get((k, w), 0) + n
-            yield pa.RecordBatch.from_pydict({"l": [k for k, _ in found], "w": [w for _, w in found], "n": list(found.values())}, schema=pa.schema([("l", pa.string()), ("w", pa.string()), ("n", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([to_arrow([k for k, _ in found], pa.string()), to_arrow([w for _, w in found], pa.string()), to_arrow(np.fromiter(found.values(), np.int64, len(found)), pa.int64())], names=["l", "w", "n"])
 
     totals = taken.mapInArrow(count, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n"))
     best = totals.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "w"))).filter(F.col("r") <= top_words)
@@ -239,7 +239,7 @@ def predict(df: DataFrame, text: str, langs: list[str], p: np.ndarray, pieces: t
                 share = 1 / np.exp(np.minimum(log - log.max(axis=1, keepdims=True), 0)).sum(axis=1)
             pred = [langs[best[i]] if langs and n[i] else "und" for i in range(len(per))]
             score = np.where(n > 0, share, 0.0) if langs else np.zeros(len(per))
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[f"c{i}" for i in range(len(names) + 2)])
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], to_arrow(pred, pa.string()), to_arrow(score, pa.float64())], names=[f"c{i}" for i in range(len(names) + 2)])
         del cache, trie, p
         give_back()
 

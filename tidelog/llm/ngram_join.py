@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import bound_batches, discard, give_back, materialise, materialised, text_slices
+from tidelog.llm.common import bound_batches, discard, give_back, materialise, materialised, text_slices, to_arrow
 from tidelog.llm.components import components
 from tidelog.llm.words import SLICE_BYTES, distinct_words
 
@@ -109,7 +109,7 @@ def sketch(df: DataFrame, id_col: str, text: str, carry: bool = False) -> DataFr
             for n, e in zip(per.tolist(), ends, strict=True):
                 nodes.append(hashlib.blake2b(h[e - n : e].tobytes(), digest_size=16).digest() if n else None)
                 sigs.append(next(sig).tobytes() if n else None)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.binary()), pa.array(per, pa.int64()), pa.array(sigs, pa.binary()), *part.columns[3:]], names=["text", "id", "rid", "node", "n_shingles", "sig", *part.schema.names[3:]])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), to_arrow(nodes, pa.binary()), to_arrow(per, pa.int64()), to_arrow(sigs, pa.binary()), *part.columns[3:]], names=["text", "id", "rid", "node", "n_shingles", "sig", *part.schema.names[3:]])
         give_back()
 
     bound_batches(df.sparkSession)
@@ -151,10 +151,10 @@ def neighbours(nodes: DataFrame) -> DataFrame:
                 ends.append(own(int(at[-1])))
             last = (tree[-1], key[-1], node[-1], ends)
             hits = hit.tolist()
-            cols = [pa.array([node[i - 1] for i in hits], pa.binary()), pa.array([node[i] for i in hits], pa.binary()), pa.array(lcp[hit - 1], pa.int32()), pa.nulls(len(hits), pa.int32()), pa.nulls(len(hits), pa.binary())]
-            yield pa.RecordBatch.from_arrays([*cols, *(pa.array(h, pa.binary()) for h in heads)], schema=schema)
+            cols = [to_arrow([node[i - 1] for i in hits], pa.binary()), to_arrow([node[i] for i in hits], pa.binary()), to_arrow(lcp[hit - 1], pa.int32()), pa.nulls(len(hits), pa.int32()), pa.nulls(len(hits), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*cols, *(to_arrow(h, pa.binary()) for h in heads)], schema=schema)
         if last:  # the rows at both ends of the partition meet their neighbours on the driver
-            yield pa.RecordBatch.from_pylist([{"node": r[2], "tree": r[0], "key": r[1]} for r in (first, last)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.nulls(2, pa.binary()), to_arrow([first[2], last[2]], pa.binary()), pa.nulls(2, pa.int32()), to_arrow(np.array([first[0], last[0]]), pa.int32()), to_arrow([first[1], last[1]], pa.binary()), *(pa.nulls(2, pa.binary()) for _ in depths)], schema=schema)
 
     found = materialise(rows.mapInArrow(run, T.StructType([T.StructField(n, {"lcp": T.IntegerType(), "tree": T.IntegerType()}.get(n, T.BinaryType())) for n, _ in fields])), "ngram-neighbours")
     ends = sorted({(r["tree"], bytes(r["key"]), bytes(r["node"])) for r in found.filter("prev IS NULL").select("tree", "key", "node").collect()})  # two rows for each partition
@@ -188,7 +188,7 @@ def verify(members: DataFrame, similarity: float) -> DataFrame:
     """node, links, root for the members (comp, i, j, side, node, copies, text) of each pair of blocks."""
 
     def linked(side, same, nodes, copies, texts):
-        h, per = shingles(pa.array(texts, pa.string()))
+        h, per = shingles(to_arrow(texts, pa.string()))
         owner = np.repeat(np.arange(len(per)), per)
         order = np.argsort(h, kind="stable")
         h, owner = h[order], owner[order]
@@ -238,7 +238,7 @@ def verify(members: DataFrame, similarity: float) -> DataFrame:
                 links, roots = linked(side, key[1] == key[2], [x[1] for x in held], np.array([x[2] for x in held], np.int64), [x[3] for x in held])
                 some = np.flatnonzero(links).tolist()
                 if some:
-                    yield pa.RecordBatch.from_arrays([pa.array([held[x][1] for x in some], pa.binary()), pa.array(links[some], pa.int64()), pa.array([roots[x] for x in some], pa.binary())], names=["node", "links", "root"])
+                    yield pa.RecordBatch.from_arrays([to_arrow([held[x][1] for x in some], pa.binary()), to_arrow(links[some], pa.int64()), to_arrow([roots[x] for x in some], pa.binary())], names=["node", "links", "root"])
 
         for b in batches:
             keys = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))

@@ -8,8 +8,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tidelog.llm.common import list_lengths, to_arrow, to_numpy
+
 SLICE_BYTES = 2 << 20
 MARK = "▁"
+EMPTY = to_arrow([""], pa.string())[0]
 
 
 @lru_cache(maxsize=4)
@@ -23,13 +26,13 @@ def load_pieces(model_file: str) -> tuple[str, ...]:
 
 def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct words of some texts, the word numbers of all texts in turn, and each text's number of words."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, EMPTY))
     flat = lists.flatten()
-    full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-    lens = np.diff(lists.offsets.to_numpy())
-    owner = np.repeat(np.arange(len(lens)), lens)[full]
-    coded = flat.filter(pa.array(full)).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.bincount(owner, minlength=len(lens))
+    full = pc.not_equal(flat, EMPTY)
+    lens = list_lengths(lists)
+    owner = np.repeat(np.arange(len(lens)), lens)[to_numpy(full)]
+    coded = flat.filter(full).dictionary_encode()
+    return coded.dictionary.to_pylist(), to_numpy(coded.indices), np.bincount(owner, minlength=len(lens))
 
 
 def code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
